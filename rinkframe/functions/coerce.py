@@ -7,14 +7,17 @@ from pyspark.sql import Column, DataFrame, functions as F, types as T
 from rinkframe.specs import TableSpec
 
 
-def to_type(value: Column, have: T.DataType, want: T.DataType) -> Column:
-    """Cast that turns what does not fit into NULL, and NULL arrays into empty ones."""
-    if isinstance(want, T.ArrayType):
-        if not isinstance(have, T.ArrayType):
-            return F.array().cast(want)
-        items = F.coalesce(value, F.array().cast(have))
-        return F.filter(items, lambda x: x.isNotNull()).try_cast(T.ArrayType(want.elementType))
-    return value if have == want else value.try_cast(want)
+def to_type(name: str, have: T.DataType | None, want: T.DataType) -> str:
+    """SQL cast of a column: what does not fit is NULL, a NULL array is empty."""
+    target = want.simpleString()
+    if not isinstance(want, T.ArrayType):
+        if have is None:
+            return f"cast(NULL AS {target})"
+        return f"`{name}`" if have == want else f"try_cast(`{name}` AS {target})"
+    if not isinstance(have, T.ArrayType):
+        return f"cast(array() AS {target})"
+    present = f"filter(coalesce(`{name}`, array()), x -> x IS NOT NULL)"
+    return present if have.elementType == want.elementType else f"try_cast({present} AS {target})"
 
 
 def conform(df: DataFrame, spec: TableSpec, keep: tuple[str, ...] = ()) -> DataFrame:
@@ -23,12 +26,9 @@ def conform(df: DataFrame, spec: TableSpec, keep: tuple[str, ...] = ()) -> DataF
     ``keep`` names helper columns to carry along behind them.
     """
     have = {f.name: f.dataType for f in df.schema}
-    columns = []
-    for c in spec.columns:
-        value = F.col(c.name) if c.name in have else F.lit(None)
-        typed = to_type(value, have.get(c.name, T.NullType()), c.spark_type)
-        columns.append(typed.alias(c.name, metadata=c.struct_field().metadata))
-    return df.select(*columns, *keep)
+    columns = [f"{to_type(c.name, have.get(c.name), c.spark_type)} AS `{c.name}`"
+               for c in spec.columns]
+    return df.selectExpr(*columns, *(f"`{k}`" for k in keep))
 
 
 def save_counts(raw: Column, saves: Column, shots: Column) -> tuple[Column, Column]:

@@ -12,13 +12,12 @@ def spark(tmp_path_factory):
         .appName("rinkframe-tests")
         .config("spark.sql.shuffle.partitions", "4")
         .config("spark.ui.enabled", "false")
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .config("spark.driver.memory", "4g")
         .config("spark.sql.warehouse.dir", str(home / "warehouse"))
     )
     session = builder.getOrCreate()
     session.sparkContext.setLogLevel("ERROR")
-    if session.conf.get("spark.checkpoint.dir", None) is None:
-        session.conf.set("spark.checkpoint.dir", str(home / "checkpoints"))
     yield configure(session)
     session.stop()
 
