@@ -5,5 +5,5 @@
 give the same rows.
 """
 
-from rinkframe.bindings import core  # noqa: F401
+from rinkframe.bindings import core, documents, stored  # noqa: F401
 from rinkframe.bindings.registry import QUERIES  # noqa: F401

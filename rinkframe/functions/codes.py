@@ -115,10 +115,10 @@ def or_default(value: Column, default) -> Column:
 
 
 def first_text(*texts: Column) -> Column:
-    """First text that is neither NULL nor empty."""
-    return F.coalesce(*(F.nullif(t, F.lit("")) for t in texts))
+    """First text that is neither NULL nor empty, else the last one."""
+    return F.coalesce(*(F.nullif(t, F.lit("")) for t in texts[:-1]), texts[-1])
 
 
 def first_number(*numbers: Column) -> Column:
-    """First number that is neither NULL nor 0."""
-    return F.coalesce(*(F.nullif(n, F.lit(0)) for n in numbers))
+    """First number that is neither NULL nor 0, else the last one."""
+    return F.coalesce(*(F.nullif(n, F.lit(0)) for n in numbers[:-1]), numbers[-1])
