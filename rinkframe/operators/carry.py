@@ -20,7 +20,7 @@ def carry_scores(
     before a row is the last one seen that was neither NULL nor 0, else 0; the
     score after it is the row's own, else the one before.
 
-    A group is worked on in blocks of ``block`` positions, so that a group of any
+    Keys must not be NULL. A group is worked on in blocks of ``block`` positions, so that a group of any
     size spreads over many tasks: within a block by a window, across blocks by a
     window over one summary row per block.
     """
@@ -45,11 +45,11 @@ def carry_scores(
     local = tagged.select("*", *(
         F.last(seen[n], ignorenulls=True).over(within).alias(f"_near_{n}") for n in scores
     ))
-    same = [local[k].eqNullSafe(carried[k]) for k in group]
-    joined = local.join(carried, same, "left")
-    out = [local[c] for c in df.columns]
+    # Same keys as the window: the rows are neither shuffled nor sorted again.
+    joined = local.join(carried, group, "left")
+    out = [F.col(c) for c in df.columns]
     for n, c in scores.items():
-        before = F.coalesce(local[f"_near_{n}"], carried[f"_in_{n}"], F.lit(0)).cast("bigint")
+        before = F.coalesce(F.col(f"_near_{n}"), F.col(f"_in_{n}"), F.lit(0)).cast("bigint")
         out.append(before.alias(f"{n}_before"))
-        out.append(F.coalesce(local[c].cast("bigint"), before).alias(f"{n}_after"))
+        out.append(F.coalesce(F.col(c).cast("bigint"), before).alias(f"{n}_after"))
     return joined.select(*out)

@@ -23,6 +23,7 @@ BUCKET_SECONDS = 60
 FAN_OUT = 64
 _LEVELS = 3
 _SPLITS = 256
+_NEVER = -(2**63)
 
 
 def _level_width(level: int, bucket: int) -> int:
@@ -60,8 +61,8 @@ def bucketed_shifts(
     empty and inverted ones included.
     """
     columns = [
-        F.col(game).alias("s_game"),
-        F.col(team).alias("s_team"),
+        F.col(game).cast("bigint").alias("s_game"),
+        F.col(team).cast("bigint").alias("s_team"),
         F.col(player).alias("s_player"),
         F.col(start).cast("bigint").alias("s_start"),
         F.col(end).cast("bigint").alias("s_end"),
@@ -79,7 +80,7 @@ def bucketed_shifts(
             )),
         )
     )
-    markers = shifts.select(F.col(game).alias("s_game")).distinct().select(
+    markers = shifts.select(F.col(game).cast("bigint").alias("s_game")).distinct().select(
         "s_game",
         F.lit(_LEVELS - 1).alias("s_level"),
         F.lit(0).cast("bigint").alias("s_bucket"),
@@ -107,42 +108,47 @@ def with_on_ice(
     twice, and players of other teams are left out. Games without any shift get
     empty lists and quality NO_SHIFTS; events without a time get empty lists.
     """
-    split = F.pmod(F.xxhash64(event), F.lit(_SPLITS)).cast("int")
-    tagged = events.withColumn("_split", split)
-    keys = {"g": game, "t": time, "h": home, "a": away, "_split": "_split"}
-    slots = tagged.select(*(F.col(c).alias(k) for k, c in keys.items())).distinct()
+    # Plain join keys: NULL stands as a number that no shift can meet, so that the
+    # aggregated answers are joined back without another shuffle.
+    numbers = {"_g": game, "_t": time, "_h": home, "_a": away}
+    tagged = events.select(
+        "*",
+        *(F.coalesce(F.col(c).cast("bigint"), F.lit(_NEVER)).alias(k) for k, c in numbers.items()),
+        F.pmod(F.xxhash64(event), F.lit(_SPLITS)).cast("int").alias("_split"),
+    )
+    keys = [*numbers, "_split"]
+    slots = tagged.select(*keys).distinct()
 
     level = F.col("level")
     probes = slots.withColumn(
         "level", F.explode(F.array(*(F.lit(n) for n in range(_LEVELS))))
-    ).withColumn("bucket", _bucket_of(level, F.col("t"), bucket))
+    ).withColumn("bucket", _bucket_of(level, F.col("_t"), bucket))
     right = bucketed_shifts(shifts, game=game, bucket=bucket, **shift_columns)
     covers = F.col("s_marker") | (
-        (F.col("s_start") <= F.col("t"))
-        & (F.col("t") < F.col("s_end"))
-        & ((F.col("s_team") == F.col("h")) | (F.col("s_team") == F.col("a")))
+        (F.col("s_start") <= F.col("_t"))
+        & (F.col("_t") < F.col("s_end"))
+        & ((F.col("s_team") == F.col("_h")) | (F.col("s_team") == F.col("_a")))
     )
     hits = probes.join(
         right,
-        (F.col("g") == F.col("s_game"))
+        (F.col("_g") == F.col("s_game"))
         & (level == F.col("s_level"))
         & (F.col("bucket") == F.col("s_bucket"))
         & covers,
     )
-    at_home = F.col("s_team") == F.col("h")
+    at_home = F.col("s_team") == F.col("_h")
     answers = hits.groupBy(*keys).agg(
         F.array_sort(F.collect_list(F.when(at_home, F.col("s_player")))).alias("home_ids"),
         F.array_sort(
-            F.collect_list(F.when(~at_home & (F.col("s_team") == F.col("a")), F.col("s_player")))
+            F.collect_list(F.when(~at_home & (F.col("s_team") == F.col("_a")), F.col("s_player")))
         ).alias("away_ids"),
     )
 
-    same = [tagged[c].eqNullSafe(answers[k]) for k, c in keys.items()]
-    joined = tagged.join(answers, same, "left")
+    joined = tagged.join(answers, keys, "left")
     empty = F.array().cast("array<bigint>")
     return joined.select(
-        *(tagged[c] for c in events.columns),
-        F.coalesce(answers["home_ids"], empty).alias("home_on_ice_ids"),
-        F.coalesce(answers["away_ids"], empty).alias("away_on_ice_ids"),
-        F.when(answers["home_ids"].isNotNull(), FULL).otherwise(NO_SHIFTS).alias("source_quality"),
+        *events.columns,
+        F.coalesce("home_ids", empty).alias("home_on_ice_ids"),
+        F.coalesce("away_ids", empty).alias("away_on_ice_ids"),
+        F.when(F.col("home_ids").isNotNull(), FULL).otherwise(NO_SHIFTS).alias("source_quality"),
     )
