@@ -14,7 +14,14 @@ from rinkframe.specs import STANDINGS
 
 
 def documents(rows: DataFrame, feed: str, key: str, day: str, body: str) -> DataFrame:
-    """Documents whose JSON text is built from each row by a SQL struct."""
+    """Documents whose JSON text is built from each row by a SQL struct.
+
+    A table in fewer splits than there are cores is spread first, as reading JSON
+    is dear; a large table has splits enough.
+    """
+    cores = rows.sparkSession.sparkContext.defaultParallelism
+    if rows.rdd.getNumPartitions() < cores:
+        rows = rows.repartition(cores)
     texts = rows.selectExpr(
         f"cast({key} AS string) AS request_key", f"cast({day} AS date) AS feed_date",
         f"to_json({body}) AS payload")

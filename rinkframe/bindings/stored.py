@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-
 from pyspark.sql import DataFrame, functions as F
 
+from rinkframe import session
 from rinkframe.bindings import views
 from rinkframe.bindings.core import _words
 from rinkframe.bindings.documents import documents
@@ -337,12 +337,14 @@ play_out AS (
 
 
 def _chunk(view) -> chunk_plan.ChunkPlan:
-    return chunk_plan.plan_chunk(chunk_documents(view))
+    """Plan of one chunk; what several of its tables read is computed once."""
+    return chunk_plan.plan_chunk(
+        chunk_documents(view), keep=lambda df, _name: session.cut_lineage(df))
 
 
 @query("sync_plays", f"WITH {CHUNK_SQL} SELECT * FROM play_out")
 def sync_plays(view):
-    return _words(_chunk(view).tables["plays"].select(
+    return _words(_chunk(view).table("plays").select(
         "game_id", "event_id", "game_date", "home_score_before", "home_score_after",
         "away_score_before", "away_score_after",
         F.array_join("home_on_ice_ids", ",").alias("home_on_ice_ids"),
@@ -355,7 +357,7 @@ SELECT e.event_id AS game_id, CASE WHEN coalesce(l.failed, 0) > 2 THEN 'SO' END
   CASE WHEN e.event_type = 'view' AND e.value > 100 THEN 'PR' ELSE 'R' END AS game_type
 FROM events e LEFT JOIN listed l ON l.event_id = e.event_id""")
 def sync_games(view):
-    return _chunk(view).tables["games"].select("game_id", "final_period_type", "game_type")
+    return _chunk(view).table("games").select("game_id", "final_period_type", "game_type")
 
 
 _STAGE_SQL = {1: "plays", 2: "games", 3: "officials", 4: "boxscore", 5: "shifts"}

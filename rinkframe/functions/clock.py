@@ -12,10 +12,10 @@ _MAX_MINUTES = 10**12
 
 def _parts(text: Column) -> tuple[Column, Column, Column]:
     trimmed = F.trim(text)
-    minutes = F.split_part(trimmed, F.lit(":"), F.lit(1)).try_cast("bigint")
-    seconds = F.split_part(trimmed, F.lit(":"), F.lit(2)).try_cast("bigint")
+    left, right = F.substring_index(trimmed, ":", 1), F.substring_index(trimmed, ":", -1)
+    minutes, seconds = left.try_cast("bigint"), right.try_cast("bigint")
     ok = (
-        (F.size(F.split(trimmed, ":")) == 2)
+        (F.concat(left, F.lit(":"), right) == trimmed)
         & minutes.between(0, _MAX_MINUTES)
         & seconds.between(0, 59)
     )
@@ -40,7 +40,7 @@ def abs_seconds(period: Column, seconds: Column, period_seconds: int = PERIOD_SE
 
 def clock_minutes(text: Column) -> Column:
     """Minutes of clock text, NULL where they are no number."""
-    return F.split_part(text, F.lit(":"), F.lit(1)).try_cast("bigint")
+    return F.substring_index(text, ":", 1).try_cast("bigint")
 
 
 def shift_period_type(period: Column) -> Column:

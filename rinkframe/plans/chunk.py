@@ -9,7 +9,7 @@ be grouped by game to find out.
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -24,6 +24,9 @@ _FEED_OF = {
     "plays": "play_by_play", "games": "landing", "officials": "right_rail",
     "boxscore": "boxscore", "shifts": "shift_charts",
 }
+_SIMPLE = {
+    "officials": flatten.officials, "boxscore": flatten.boxscore, "shifts": flatten.shifts,
+}
 _REASONS = {
     "fetch": "a document is missing or is no JSON",
     "plays": "a play has no readable clock, or the game lacks id, season, type or teams",
@@ -34,13 +37,31 @@ _REASONS = {
 }
 
 
-@dataclass
 class ChunkPlan:
-    """Frames of one chunk; nothing has run yet."""
-
-    work_list: DataFrame
-    status: DataFrame
-    tables: dict[str, DataFrame] = field(default_factory=dict)
+    """Tables of one chunk, each planned when it is asked for."""
+
+    def __init__(self, docs, tables, work_list, status, keep):
+        self.docs, self.work_list, self.status = docs, work_list, status
+        self.names = tuple(t for t in CHUNK_TABLES if t in tables or t == "plays")
+        self._keep = keep
+
+    def _documents(self, table: str, feed: str | None = None) -> DataFrame:
+        return kept_documents(self.docs[feed or _FEED_OF[table]], self.status, table)
+
+    def table(self, name: str) -> DataFrame:
+        if name == "standings":
+            return flatten.standings(self.docs["standings"])
+        if name == "games":
+            return dedupe.latest_games(
+                flatten.games_from_score(self.docs["score"], keep=("feed_date", "pos")),
+                flatten.games_from_landing(self._documents("games"), keep=("feed_date",)),
+            )
+        if name == "plays":
+            rows = self._keep(play_ops.play_rows(self._documents("plays")), "play_rows")
+            charts = self._documents("plays", "shift_charts")
+            merged = self._keep(flatten.merge_shifts(charts), "merge_shifts")
+            return play_ops.complete_plays(rows, merged)
+        return _SIMPLE[name](self._documents(name))
 
     @property
     def skipped(self) -> DataFrame:
@@ -54,11 +75,10 @@ class ChunkPlan:
 
     def row_counts(self) -> DataFrame:
         """Rows per table, a table without rows included."""
-        counts = None
-        for name, df in self.tables.items():
-            one = df.agg(F.count("*").alias("rows")).select(F.lit(name).alias("table"), "rows")
-            counts = one if counts is None else counts.unionByName(one)
-        return counts
+        return reduce(DataFrame.unionByName, (
+            self.table(n).agg(F.count("*").alias("rows")).select(F.lit(n).alias("table"), "rows")
+            for n in self.names
+        ))
 
 
 def needed_feeds(tables) -> tuple[str, ...]:
@@ -175,7 +195,7 @@ def plan_chunk(
     include_preseason: bool = False,
     keep=lambda df, name: df,
 ) -> ChunkPlan:
-    """Frames of all tables of one chunk from its document frames.
+    """Plan of all tables of one chunk from its document frames.
 
     ``keep`` is called on frames that several tables read; a sync stores them.
     The score feed lists all games in ``games``, preseason ones too; only the
@@ -183,28 +203,4 @@ def plan_chunk(
     """
     work_list = dedupe.work_list(flatten.score_games(docs["score"]), include_preseason)
     status = keep(game_status(docs, work_list, tables), "status")
-    plan = ChunkPlan(work_list, status)
-
-    def kept(table: str) -> DataFrame:
-        return kept_documents(docs[_FEED_OF[table]], status, table)
-
-    play_docs = kept("plays")
-    rows = keep(play_ops.play_rows(play_docs), "play_rows")
-    charts = kept_documents(docs["shift_charts"], status, "plays")
-    merged = keep(flatten.merge_shifts(charts), "merge_shifts")
-
-    if "games" in tables:
-        plan.tables["games"] = dedupe.latest_games(
-            flatten.games_from_score(docs["score"], keep=("feed_date", "pos")),
-            flatten.games_from_landing(kept("games"), keep=("feed_date",)),
-        )
-    if "officials" in tables:
-        plan.tables["officials"] = flatten.officials(kept("officials"))
-    if "boxscore" in tables:
-        plan.tables["boxscore"] = flatten.boxscore(kept("boxscore"))
-    if "shifts" in tables:
-        plan.tables["shifts"] = flatten.shifts(kept("shifts"))
-    plan.tables["plays"] = play_ops.complete_plays(rows, merged)
-    if "standings" in tables:
-        plan.tables["standings"] = flatten.standings(docs["standings"])
-    return plan
+    return ChunkPlan(docs, tables, work_list, status, keep)

@@ -97,11 +97,11 @@ def _write_chunk(spark, landing, start, end, options) -> dict[str, int]:
         _log_skipped(plan, start, end, options)
         rows = {name: 0 for name in CHUNK_TABLES}
         for name in CHUNK_TABLES:
-            if name in plan.tables:
+            if name in plan.names:
                 spec, table = CHUNK_TABLES[name], options.table(name)
                 sink.create_if_missing(spark, table, spec)
                 rows[name] = sink.replace_window(
-                    plan.tables[name], table, spec, str(start), str(end)).rows
+                    plan.table(name), table, spec, str(start), str(end)).rows
         return rows
 
 

@@ -6,8 +6,8 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-# Settings that results depend on (the time zone) or that every plan here
-# relies on (runtime re-planning, per-date replacement of partitions).
+# Settings that results depend on (the time zone) or that every plan here relies
+# on (runtime re-planning).
 SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
@@ -33,6 +33,14 @@ def shared_folder(spark: SparkSession) -> str:
     return named or spark.conf.get("spark.sql.warehouse.dir")
 
 
+def cut_lineage(df: DataFrame) -> DataFrame:
+    """Compute a frame once and keep it in the shared folder for later reads."""
+    context = df.sparkSession.sparkContext
+    if context.getCheckpointDir() is None:
+        context.setCheckpointDir(shared_folder(df.sparkSession))
+    return df.checkpoint()
+
+
 class Stage:
     """Writes intermediate frames once as Parquet in the shared folder.
 

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import re
 import uuid
+from contextlib import contextmanager
 from dataclasses import dataclass
 
 from pyspark.errors import PySparkValueError
@@ -82,7 +83,8 @@ def replace_window(df: DataFrame, table: str, spec: TableSpec, start: str, end:
         F.count_if(~inside).alias("outside"),
         F.collect_set(F.when(inside, F.col(field).cast("string"))).alias("dates"),
     )
-    _append(counted.where(inside), table, "dynamic")
+    with _dynamic_overwrite(spark):
+        _insert(counted.where(inside), table, "overwrite")
     found = seen.get
     if found["rows"] == 0:
         return Written(0)
@@ -91,21 +93,33 @@ def replace_window(df: DataFrame, table: str, spec: TableSpec, start: str, end:
         parts = ", ".join(f"PARTITION ({field} = DATE'{d}')" for d in emptied)
         spark.sql(f"ALTER TABLE {table} DROP IF EXISTS {parts}")
     if found["outside"]:
-        _append(rows.where(~inside), table, None)
+        append(rows.where(~inside), table)
     return Written(found["rows"], found["outside"])
 
 
-def _append(df: DataFrame, table: str, overwrite_mode: str | None) -> None:
-    """Insert by column position, overwriting the touched partitions or not."""
+@contextmanager
+def _dynamic_overwrite(spark: SparkSession):
+    """Overwriting a table replaces the partitions that get rows and no others.
+
+    Inserting into a catalog table takes this from the session only.
+    """
+    key = "spark.sql.sources.partitionOverwriteMode"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "dynamic")
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
+def _insert(df: DataFrame, table: str, mode: str) -> None:
+    """Insert by column position."""
     names = df.sparkSession.table(table).columns
-    writer = df.select(*names).write.mode("overwrite" if overwrite_mode else "append")
-    if overwrite_mode:
-        writer = writer.option("partitionOverwriteMode", overwrite_mode)
-    writer.insertInto(table)
+    df.select(*names).write.mode(mode).insertInto(table)
 
 
 def append(df: DataFrame, table: str) -> None:
-    _append(df, table, None)
+    _insert(df, table, "append")
 
 
 def _rewrite(df: DataFrame, table: str) -> None:

@@ -37,6 +37,7 @@ def sync_new(
     runlog.create_if_missing(spark, options.table("_ingest_runs"))
     names = (
         spark.readStream.format("binaryFile")
+        .schema("path STRING, modificationTime TIMESTAMP, length BIGINT, content BINARY")
         .option("pathGlobFilter", "*.json")
         .option("recursiveFileLookup", "true")
         .option("maxFilesPerTrigger", max_files)
