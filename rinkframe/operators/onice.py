@@ -9,8 +9,9 @@ result, also when one game holds a large part of all rows:
 * time is cut into buckets. A shift is copied to the few buckets it touches, on
   a level whose bucket width suits its length, and meets only the seconds of
   those buckets;
-* a second that very many events share is split by a hash of the event, which
-  never makes more rows than there are events.
+* a second that very many events share is split by blocks of event numbers, so
+  that no task joins back more than one block of it. The events of a usual game
+  lie in one or two blocks and stay together.
 """
 
 from __future__ import annotations
@@ -22,7 +23,7 @@ BUCKET_SECONDS = 60
 # A shift touches at most this many buckets, plus one, of its level.
 FAN_OUT = 64
 _LEVELS = 3
-_SPLITS = 256
+_BLOCK = 1 << 18
 _NEVER = -(2**63)
 
 
@@ -107,6 +108,7 @@ def with_on_ice(
     The ids are ascending lists, a player with two overlapping shifts counts
     twice, and players of other teams are left out. Games without any shift get
     empty lists and quality NO_SHIFTS; events without a time get empty lists.
+    ``event`` is a number that is unique within a game and not NULL.
     """
     # Plain join keys: NULL stands as a number that no shift can meet, so that the
     # aggregated answers are joined back without another shuffle.
@@ -114,9 +116,9 @@ def with_on_ice(
     tagged = events.select(
         "*",
         *(F.coalesce(F.col(c).cast("bigint"), F.lit(_NEVER)).alias(k) for k, c in numbers.items()),
-        F.pmod(F.xxhash64(event), F.lit(_SPLITS)).cast("int").alias("_split"),
+        F.floor(F.col(event) / _BLOCK).alias("_block"),
     )
-    keys = [*numbers, "_split"]
+    keys = [*numbers, "_block"]
     slots = tagged.select(*keys).distinct()
 
     level = F.col("level")
