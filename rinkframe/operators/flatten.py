@@ -6,6 +6,9 @@ per element. Nothing here shuffles: a document is unpacked where it was read.
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import add
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from rinkframe.functions import clock, codes, coerce
@@ -108,30 +111,38 @@ _COPIED = (
 def boxscore_players(boxscore: DataFrame) -> DataFrame:
     """Every player of a boxscore with team, category and place in the document.
 
-    ``place`` counts sides, position groups and positions in document order, so
-    that of two entries of one player the later one can be told. Here the home
-    side comes first.
+    The six lists of a document are put behind each other, home side first, and
+    unpacked at once; ``place`` counts through them, so that of two entries of one
+    player the later one can be told.
     """
-    blocks = F.array(*(
-        F.struct(
-            F.lit(side_no * 3 + group_no).alias("block"),
-            F.col(f"doc.{side}.id").alias("team_id"),
-            F.lit("goalie" if group == "goalies" else "skater").alias("category"),
-            F.col(f"doc.playerByGameStats.{side}.{group}").alias("players"),
-        )
-        for side_no, side in enumerate(("homeTeam", "awayTeam"))
-        for group_no, group in enumerate(("forwards", "defense", "goalies"))
-    ))
-    return (
-        boxscore.select(
-            F.col("doc.id").alias("game_id"), F.col("doc.gameDate").alias("game_date"),
-            F.inline(blocks),
-        )
-        .select(
-            "game_id", "game_date", "team_id", "category", "block",
-            F.posexplode("players").alias("pos", "player"),
-        )
-        .withColumn("place", F.struct("block", "pos"))
+    kind = boxscore.schema["doc"].dataType["playerByGameStats"].dataType
+    none = F.array().cast(kind["homeTeam"].dataType["forwards"].dataType)
+    lists = [
+        F.coalesce(F.col(f"doc.playerByGameStats.{side}.{group}"), none)
+        for side in ("homeTeam", "awayTeam") for group in ("forwards", "defense", "goalies")
+    ]
+    sizes = [F.size(x) for x in lists]
+    place = F.col("place")
+    unpacked = boxscore.select(
+        F.col("doc.id").alias("game_id"),
+        F.col("doc.gameDate").alias("game_date"),
+        F.col("doc.homeTeam.id").alias("home_id"),
+        F.col("doc.awayTeam.id").alias("away_id"),
+        (sizes[0] + sizes[1]).alias("home_goalies_from"),
+        (sizes[0] + sizes[1] + sizes[2]).alias("away_from"),
+        reduce(add, sizes[:5]).alias("away_goalies_from"),
+        F.posexplode(F.concat(*lists)).alias("place", "player"),
+    )
+    at_home = place < F.col("away_from")
+    in_net = F.when(at_home, place >= F.col("home_goalies_from")).otherwise(
+        place >= F.col("away_goalies_from"))
+    return unpacked.select(
+        "game_id",
+        "game_date",
+        F.when(at_home, F.col("home_id")).otherwise(F.col("away_id")).alias("team_id"),
+        F.when(in_net, "goalie").otherwise("skater").alias("category"),
+        "player",
+        "place",
     )
 
 
