@@ -94,6 +94,21 @@ def _broken(fields: list[str], prefix: str) -> Column:
     return nothing
 
 
+def _day_folders(spark: SparkSession, base: str, start: str, end: str) -> list[str]:
+    """Folders of the days in the closed range that were landed.
+
+    Only the names of the day folders are listed, so the cost of opening a chunk
+    does not grow with the files of other days.
+    """
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(base)
+    fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not fs.exists(path):
+        return []
+    names = [f.getPath().getName() for f in fs.listStatus(path) if f.isDirectory()]
+    days = sorted(n for n in names if n.startswith("feed_date="))
+    return [f"{base}/{n}" for n in days if start <= n.removeprefix("feed_date=") <= end]
+
+
 def read_feed(
     spark: SparkSession,
     root: str,
@@ -103,25 +118,29 @@ def read_feed(
 ) -> DataFrame:
     """Documents of one feed in a landing zone, dates inclusive.
 
-    The date range prunes folders. A document that is no JSON keeps its row with
-    ``is_broken``.
+    With a date range only the folders of its days are opened. A document that is
+    no JSON keeps its row with ``is_broken``.
     """
     schema = feed_schema(feed)
     by_date = feed != "player"
     declared = T.StructType(list(schema)).add(_BROKEN, T.StringType())
     if by_date:
         declared = declared.add("feed_date", T.DateType())
-    docs = (
-        spark.read.schema(declared)
-        .option("multiLine", True)
-        .option("mode", "PERMISSIVE")
-        .option("columnNameOfCorruptRecord", _BROKEN)
-        .option("pathGlobFilter", "*.json")
-        .json(f"{root.rstrip('/')}/{feed}")
-    )
-    if start is not None:
-        docs = docs.where(F.col("feed_date").between(F.lit(start).cast("date"), F.lit(end).cast("date")))
-    key = F.regexp_extract(F.col("_metadata.file_path"), r"([^/]+)\.json$", 1)
+    base = f"{root.rstrip('/')}/{feed}"
+    paths = [base] if start is None else _day_folders(spark, base, start, end)
+    if paths:
+        docs = (
+            spark.read.schema(declared)
+            .option("multiLine", True)
+            .option("mode", "PERMISSIVE")
+            .option("columnNameOfCorruptRecord", _BROKEN)
+            .option("pathGlobFilter", "*.json")
+            .option("basePath", base)
+            .json(paths)
+        )
+        key = F.regexp_extract(F.col("_metadata.file_path"), r"([^/]+)\.json$", 1)
+    else:
+        docs, key = spark.createDataFrame([], declared), F.lit("")
     return docs.select(
         key.alias("request_key"),
         (F.col("feed_date") if by_date else F.lit(None).cast("date")).alias("feed_date"),

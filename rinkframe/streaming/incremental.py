@@ -1,8 +1,9 @@
 """Sync driven by newly landed score documents.
 
 The checkpoint of the stream remembers which score files were seen, so a run
-picks up the days that changed since the last one. Each run drains what is
-there and ends.
+picks up the days that came since the last one. Each run drains what is there
+and ends. A score file landed again under its old name is not seen; run a sync of
+its day.
 """
 
 from __future__ import annotations
