@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from rinkframe import session
-from rinkframe.bindings import views
 from rinkframe.bindings.core import _words
 from rinkframe.bindings.documents import documents
 from rinkframe.bindings.registry import query
