@@ -29,7 +29,10 @@ BITS = 20
 # Documented bound of the training sample: the labelled rows with the smallest
 # hashes. Counted and joined as ids; their texts stay on the executors.
 MAX_ROWS = 24_000
-SHARDS = 6
+# A shard holds about this many of them: fewer would hide rare features.
+SHARD_ROWS = 12_000
+# A feature takes part from this many texts of its shard on.
+LEAST_TEXTS = 10
 STEMS = (4, 5)
 
 _LETTERS = bytes(c + 32 if 0x41 <= c <= 0x5A else c if 0x61 <= c <= 0x7A or c >= 0x80 else 0x20
@@ -67,12 +70,13 @@ class Ftrl:
     """State of FTRL-proximal for binary features with value 1."""
 
     bits: int = BITS
-    alpha: float = 0.3
+    alpha: float = 0.5
     beta: float = 1.0
-    l1: float = 1.0
-    l2: float = 1.0
+    l1: float = 5.0
+    l2: float = 0.1
     z: np.ndarray = field(init=False)
     n: np.ndarray = field(init=False)
+    toxic_weight: float = 3.0  # toxic texts are few
     bias: float = 0.0
     bias_n: float = 0.0
 
@@ -87,7 +91,7 @@ class Ftrl:
     def learn(self, at: np.ndarray, label: int) -> None:
         w = self.weights(at)
         p = 1 / (1 + np.exp(-np.clip(w.sum() + self.bias, -35, 35)))
-        g = p - label
+        g = (p - label) * (self.toxic_weight if label else 1.0)
         grown = self.n[at] + g * g
         self.z[at] += g - (np.sqrt(grown) - np.sqrt(self.n[at])) / self.alpha * w
         self.n[at] = grown
@@ -118,8 +122,7 @@ class Model:
 
 
 def fit(documents: DataFrame, labels: DataFrame, *, doc_id: str = "doc_id", text: str = "text",
-        label: str = "toxic", max_rows: int = MAX_ROWS, shards: int = SHARDS,
-        epochs: int = 3, bits: int = BITS) -> Model:
+        label: str = "toxic", max_rows: int = MAX_ROWS, epochs: int = 6, bits: int = BITS) -> Model:
     """Fit on the labelled rows, at most ``max_rows`` of them.
 
     Each shard of the sample is learnt by one task, and the shards' weights are
@@ -129,6 +132,7 @@ def fit(documents: DataFrame, labels: DataFrame, *, doc_id: str = "doc_id", text
     chosen = (labels.filter(F.col(label).isNotNull() & F.col(doc_id).isNotNull())
               .groupBy(F.col(doc_id).alias("_id")).agg(F.max(label).cast("int").alias("_label"))
               .orderBy(F.xxhash64("_id"), "_id").limit(max_rows))
+    shards = max(1, -(-chosen.count() // SHARD_ROWS))
     rows = (documents.select(F.col(doc_id).alias("_key"), F.col(text).alias("_text"))
             .join(F.broadcast(chosen), F.col("_key") == F.col("_id"))
             .select(F.pmod(F.xxhash64("_id"), F.lit(shards)).alias("shard"),
@@ -144,6 +148,10 @@ def fit(documents: DataFrame, labels: DataFrame, *, doc_id: str = "doc_id", text
             share = min(max(float(np.mean(y)), 1e-3), 1 - 1e-3)
             model.bias = float(np.log(share / (1 - share)))
         if 0 < sum(y) < len(y):
+            seen = np.zeros(1 << bits, np.int32)
+            for a in at:
+                seen[a] += 1
+            at = [a[seen[a] >= LEAST_TEXTS] for a in at]
             for _ in range(epochs):
                 for a, b in zip(at, y):
                     model.learn(a, b)
