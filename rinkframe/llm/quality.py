@@ -123,8 +123,8 @@ def fit(patterns: dict[int, int], rules: int = RULES, steps: int = 60) -> dict[i
     A two-class Dawid-Skene model: a rule that votes is right on good texts with one
     probability and on bad texts with another. A rule
     is right on at least 99 % of good texts and 55 % of bad ones, so it is never taken
-    for its opposite, and the share of good texts within 0.05
-    and 0.95, so that a corpus of one kind still has a defined answer.
+    for its opposite, and the share of good texts within 0.1
+    and 0.9, so that a corpus of one kind still has a defined answer.
     """
     if not patterns:
         return {}
@@ -140,7 +140,7 @@ def fit(patterns: dict[int, int], rules: int = RULES, steps: int = 60) -> dict[i
         a, b = weight * p, weight * (1 - p)
         on_good = np.clip((a @ up + 1) / (a @ (up + down) + 2), 0.99, 0.999)
         on_bad = np.clip((b @ down + 1) / (b @ (up + down) + 2), 0.55, 0.99)
-        share = float(np.clip(a.sum() / weight.sum(), 0.05, 0.95))
+        share = float(np.clip(a.sum() / weight.sum(), 0.1, 0.9))
     return dict(zip(codes.tolist(), p.tolist()))
 
 
