@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from rinkframe.llm import chat, licenses, packing, quality, toxicity, urls
+from rinkframe.llm import chat, hyperminhash, licenses, packing, quality, toxicity, urls
 from rinkframe.llm.registry import QUERIES, query  # noqa: F401
 
 
@@ -143,3 +143,9 @@ def op9_quality(spark, table):
     return judged.select("doc_id", *[f"quality.{c}" for c in (
         "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
         "base_failed", "posterior", "kept")])
+
+
+@query("op10_near_duplicates")
+def op10_near_duplicates(spark, table):
+    """Components of near-duplicates among all documents."""
+    return hyperminhash.near_duplicates(table("documents").select("doc_id", "text"))
