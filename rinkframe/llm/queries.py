@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from rinkframe.llm import chat, hyperminhash, licenses, packing, quality, toxicity, urls
+from rinkframe.llm import chat, hyperminhash, licenses, packing, quality, suffixes, toxicity, urls
 from rinkframe.llm.registry import QUERIES, query  # noqa: F401
 
 
@@ -136,6 +136,16 @@ def op7_licenses(spark, table):
         "n_words", "n_base", "first_word", "last_word", "base_labels", "labels", "score")])
 
 
+@query("op8_repeats")
+def op8_repeats(spark, table):
+    """Bytes of all documents that stand in an earlier one in strings of 50."""
+    removed = suffixes.remove_repeats(table("documents").select("doc_id", "text"))
+    n = F.aggregate("spans", F.lit(0).cast("bigint"), lambda total, s: total + s["length"])
+    return removed.select("doc_id", "n_bytes", n.alias("n_removed"),
+                          F.size("spans").cast("bigint").alias("n_spans"),
+                          F.sha2("kept", 256).alias("kept_sha256"))
+
+
 @query("op9_quality")
 def op9_quality(spark, table):
     """Counts, base rules and the verdict of weak supervision for all documents."""

@@ -74,3 +74,15 @@ def window_hashes(values: np.ndarray, size: int, seed: int = 1) -> np.ndarray:
     for k, factor in enumerate(odd_numbers(size, seed)):
         out += values[k:k + n] * factor
     return mix(out)
+
+
+def pack5(values: np.ndarray) -> bytes:
+    """The lower 40 bits of each value, five bytes a piece."""
+    return np.ascontiguousarray(
+        values.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :5]).tobytes()
+
+
+def unpack5(data: bytes) -> np.ndarray:
+    wide = np.zeros((len(data) // 5, 8), np.uint8)
+    wide[:, :5] = np.frombuffer(data, np.uint8).reshape(-1, 5)
+    return wide.view("<u8").ravel()
