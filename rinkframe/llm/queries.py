@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from rinkframe.llm import chat, hyperminhash, licenses, packing, quality, suffixes, toxicity, urls
+from rinkframe.llm import chat, hyperminhash, licenses, linededup, packing, quality, suffixes, toxicity, urls
 from rinkframe.llm.registry import QUERIES, query  # noqa: F401
 
 
@@ -24,6 +24,35 @@ def op1_toxicity(spark, table):
                          (F.col("score") >= 0.7).cast("int").alias("predicted"))
 
 
+OP2_SQL = r"""
+WITH numbered AS (
+  SELECT doc_id, unnest(string_split(text, chr(10))) AS line,
+    unnest(range(len(string_split(text, chr(10))))) AS spot
+  FROM documents
+), firsts AS (
+  SELECT line, length(line) AS n, min((doc_id, spot)) AS head FROM numbered WHERE length(line) >= 30 GROUP BY line
+), near AS (
+  SELECT DISTINCT CASE WHEN a.head < b.head THEN b.line ELSE a.line END AS line
+  FROM firsts a JOIN firsts b ON a.n BETWEEN b.n - 2 AND b.n AND a.line <> b.line AND (a.n < b.n OR a.line < b.line)
+  WHERE levenshtein(a.line, b.line) <= 2
+), judged AS (
+  SELECT n.doc_id, n.spot, n.line, f.line IS NOT NULL AND ((n.doc_id, n.spot) <> f.head OR r.line IS NOT NULL) AS gone
+  FROM numbered n LEFT JOIN firsts f ON n.line = f.line LEFT JOIN near r ON n.line = r.line
+)
+SELECT d.doc_id, count(j.spot) AS n_lines, count(*) FILTER (WHERE gone) AS n_removed,
+  sha256(coalesce(string_agg(j.line, chr(10) ORDER BY j.spot) FILTER (WHERE NOT gone), '')) AS kept_sha256
+FROM documents d LEFT JOIN judged j ON d.doc_id = j.doc_id GROUP BY d.doc_id
+"""
+
+
+@query("op2_lines", OP2_SQL)
+def op2_lines(spark, table):
+    """All documents without lines that stand, or nearly stand, earlier."""
+    out = linededup.dedup_lines(table("documents").select("doc_id", "text"))
+    return out.select("doc_id", F.col("lines.total").alias("n_lines"),
+                      F.col("lines.removed").alias("n_removed"), F.sha2("text", 256).alias("kept_sha256"))
+
+
 OP4_SQL = r"""
 WITH rows AS (
   SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
