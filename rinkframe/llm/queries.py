@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from rinkframe.llm import chat, hyperminhash, licenses, linededup, packing, quality, suffixes, toxicity, urls
+from rinkframe.llm import chat, decontam, hyperminhash, licenses, linededup, packing, quality, suffixes, toxicity, urls
 from rinkframe.llm.registry import QUERIES, query  # noqa: F401
 
 
@@ -53,6 +53,12 @@ def op2_lines(spark, table):
                       F.col("lines.removed").alias("n_removed"), F.sha2("text", 256).alias("kept_sha256"))
 
 
+@query("op3_leaks")
+def op3_leaks(spark, table):
+    """Benchmark items in all documents."""
+    return decontam.leaks(table("documents").select("doc_id", "text"), table("benchmark"))
+
+
 OP4_SQL = r"""
 WITH rows AS (
   SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
