@@ -18,7 +18,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from rinkframe.llm.store import keep
+from rinkframe.llm.store import free_name, keep
 
 EDITS = 2
 LEAST_CHARS = 30
@@ -177,31 +177,33 @@ def near_lines(lines: DataFrame, edits: int = EDITS) -> tuple[DataFrame, DataFra
 def dedup_lines(df: DataFrame, doc_id: str = "doc_id", text: str = "text", edits: int = EDITS) -> DataFrame:
     """The input with repeated lines taken out of the text, and the struct ``lines``:
     ``total``, ``removed`` and ``long_left`` (lines long enough that stay)."""
+    doc, version, gone_at = (free_name(df, c) for c in ("doc", "version", "gone"))
     lines = _all_lines(df, doc_id, text)
     first, near = near_lines(lines, edits)
     fate = first.join(near, ["h1", "h2"], "left")
     gone = (lines.select("doc", "version", "at", "h1", "h2").join(fate, ["h1", "h2"])
             .withColumn("repeated", ~F.col("first").eqNullSafe(F.struct("doc", "version", "at")))
             .filter(F.col("repeated") | F.col("near"))
-            .groupBy("doc", "version").agg(F.collect_set("at").alias("_gone"))
-            .withColumnsRenamed({"doc": "_doc", "version": "_version"}))
+            .groupBy(F.col("doc").alias(doc), F.col("version").alias(version))
+            .agg(F.collect_set("at").alias(gone_at)))
     split = F.split(F.col(text), "\n")
-    places = F.array_except(F.sequence(F.lit(0), F.size(split) - 1), F.col("_gone"))
+    places = F.array_except(F.sequence(F.lit(0), F.size(split) - 1), F.col(gone_at))
     left = F.transform(places, lambda i: F.get(split, i))
-    marked = df.join(gone, F.col(doc_id).eqNullSafe(F.col("_doc"))
-                     & F.xxhash64(text).eqNullSafe(F.col("_version")), "left")
-    kept = F.when(F.col("_gone").isNull(), split).otherwise(left)
+    marked = df.join(gone, F.col(doc_id).eqNullSafe(F.col(doc))
+                     & F.xxhash64(text).eqNullSafe(F.col(version)), "left")
+    kept = F.when(F.col(gone_at).isNull(), split).otherwise(left)
     out = marked.withColumn("lines", F.struct(
         F.coalesce(F.size(split), F.lit(0)).cast("bigint").alias("total"),
-        F.coalesce(F.size("_gone"), F.lit(0)).cast("bigint").alias("removed"),
+        F.coalesce(F.size(gone_at), F.lit(0)).cast("bigint").alias("removed"),
         F.coalesce(F.size(F.filter(kept, lambda l: F.length(l) >= LEAST_CHARS)), F.lit(0))
         .cast("bigint").alias("long_left")))
-    return out.withColumn(text, F.coalesce(F.array_join(kept, "\n"), F.lit(""))).drop("_gone", "_doc", "_version")
+    return out.withColumn(text, F.coalesce(F.array_join(kept, "\n"), F.lit(""))).drop(gone_at, doc, version)
 
 
 def keep_distinct_lines(df: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """The input with repeated lines taken out; a document that loses lines and keeps
     none of ``LEAST_CHARS`` characters goes."""
-    out = dedup_lines(df, doc_id, text)
-    return (out.filter((F.col("lines.removed") == 0) | (F.col("lines.long_left") > 0))
-            .select(*[F.col(f"`{c}`") for c in df.columns]))
+    row = F.struct(*[F.col(f"`{c}`") for c in df.columns])
+    out = dedup_lines(df.select(row.alias("row"), F.col(doc_id).alias("doc_id"), F.col(text).alias("text")))
+    kept = out.filter((F.col("lines.removed") == 0) | (F.col("lines.long_left") > 0))
+    return kept.select(F.col("row").withField(text, F.col("text")).alias("row")).select("row.*")

@@ -19,6 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from rinkframe.llm.store import free_name
 from rinkframe.llm.words import SPACE, utf8, window_hashes
 
 SYMBOLS = b"#*$%&|<>"
@@ -156,22 +157,25 @@ def judge(df: DataFrame, text: str = "text") -> DataFrame:
     counted = (measured.filter(~base_failed(s))
                .groupBy(_pattern(s).alias("pattern")).count().collect())
     posterior = fit({r["pattern"]: r["count"] for r in counted})
+    code, pattern, chance = (free_name(df, c) for c in ("code", "pattern", "posterior"))
     table = df.sparkSession.createDataFrame(
-        [(int(k), float(p)) for k, p in posterior.items()], "_pattern int, _posterior double")
+        [(int(k), float(p)) for k, p in posterior.items()], f"`{pattern}` int, `{chance}` double")
     failed = base_failed(s)
     joined = (measured
-              .withColumn("_code", F.when(~failed, _pattern(s)))
-              .join(F.broadcast(table), F.col("_code") == F.col("_pattern"), "left"))
-    chance = F.coalesce(F.col("_posterior"), F.lit(0.0))
+              .withColumn(code, F.when(~failed, _pattern(s)))
+              .join(F.broadcast(table), F.col(code) == F.col(pattern), "left"))
+    good = F.coalesce(F.col(chance), F.lit(0.0))
     full = F.struct(
         *[s[c].alias(c) for c in _COUNTS],
         failed.alias("base_failed"),
-        chance.alias("posterior"),
-        (~failed & (chance >= 0.5)).alias("kept"),
+        good.alias("posterior"),
+        (~failed & (good >= 0.5)).alias("kept"),
     )
-    return joined.withColumn("quality", full).drop("_code", "_pattern", "_posterior")
+    return joined.withColumn("quality", full).drop(code, pattern, chance)
 
 
 def keep_good(df: DataFrame, text: str = "text") -> DataFrame:
     """The rows whose text is kept, with the columns of the input."""
-    return judge(df, text).filter(F.col("quality.kept")).select(*[F.col(f"`{c}`") for c in df.columns])
+    row, text_column = F.struct(*[F.col(f"`{c}`") for c in df.columns]), F.col(f"`{text}`")
+    packed = df.select(row.alias("row"), text_column.alias("text"))
+    return judge(packed).filter(F.col("quality.kept")).select("row.*")

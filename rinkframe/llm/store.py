@@ -34,3 +34,11 @@ def keep(df: DataFrame, name: str) -> DataFrame:
     path = f"{shared_root(spark)}/rinkframe-llm/{name}-{uuid.uuid4().hex}"
     df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def free_name(df: DataFrame, name: str) -> str:
+    """The name, with underscores in front until no column of the frame has it."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name = f"_{name}"
+    return name

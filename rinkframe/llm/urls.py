@@ -20,6 +20,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from rinkframe.llm.store import free_name
+
 # Rules up to this number are broadcast (about 20 MB); more are joined by shuffle.
 MAX_BROADCAST = 100_000
 
@@ -102,17 +104,18 @@ def judge(df: DataFrame, rules: list[Rule], url: str = "url") -> DataFrame:
     """
     rules = list(dict.fromkeys(rules))
     host, path = _parts(F.col(url))
-    rows = df.withColumns({"host": host, "path": path}).withColumn("_place", F.concat("host", "path"))
+    place, hit = free_name(df, "place"), free_name(df, "hit")
+    rows = df.withColumns({"host": host, "path": path}).withColumn(place, F.concat("host", "path"))
     if not rules:
-        return rows.withColumns({"rule": F.lit(None).cast("string"), "verdict": F.lit("allow")}).drop("_place")
-    places = rows.select("_place").distinct()
-    tokens = places.select("_place", F.explode(_tokens(F.col("_place"))).alias("token"))
+        return rows.withColumns({"rule": F.lit(None).cast("string"), "verdict": F.lit("allow")}).drop(place)
+    tokens = (rows.select(F.col(place).alias("at")).distinct()
+              .select("at", F.explode(_tokens(F.col("at"))).alias("token")))
     index = index_rules(tokens, _rule_frame(df.sparkSession, rules), len(rules) <= MAX_BROADCAST)
-    best = F.max(F.struct("is_host", "size", F.col("rule").alias("_name"), F.col("verdict").alias("_verdict")))
-    hits = (tokens.join(index, "token").filter(F.regexp_like("_place", F.col("regex")))
-            .groupBy("_place").agg(best.alias("_hit")))
-    return (rows.join(hits, "_place", "left")
+    best = F.max(F.struct("is_host", "size", "rule", "verdict"))
+    hits = (tokens.join(index, "token").filter(F.regexp_like("at", F.col("regex")))
+            .groupBy(F.col("at").alias(place)).agg(best.alias(hit)))
+    return (rows.join(hits, place, "left")
             .withColumns({
-                "rule": F.when(F.col("_hit.is_host"), F.col("_hit._name")),
-                "verdict": F.coalesce(F.col("_hit._verdict"), F.lit("allow")),
-            }).drop("_place", "_hit"))
+                "rule": F.when(F.col(hit)["is_host"], F.col(hit)["rule"]),
+                "verdict": F.coalesce(F.col(hit)["verdict"], F.lit("allow")),
+            }).drop(place, hit))
