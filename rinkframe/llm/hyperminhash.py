@@ -9,8 +9,8 @@ most of them, and the rest are confirmed on their full sets.
 Texts with equal sets form a class, which takes part once. Links between classes
 are found in two rounds, and no bucket is ever expanded into all its pairs:
 
-1. every class against one member of each of its buckets, the best estimate of
-   each class verified, and components formed;
+1. every class against one member of each of its buckets: of each class the best
+   estimates are verified and components formed, then the best between components;
 2. in every bucket that still holds several components, all pairs of different
    components, tested on registers in blocks of bounded size, the survivors
    verified.
@@ -260,6 +260,28 @@ def _second_round(bands: DataFrame, hubs: DataFrame, classes: DataFrame, labels:
             .groupBy("part").applyInArrow(_block_pairs, PAIR).distinct())
 
 
+def _partners(likely: DataFrame) -> DataFrame:
+    """For every class its likeliest partner, and of the likely ones that of the
+    smallest id, which draws large groups together."""
+    ends = (likely.select(F.col("a").alias("id"), F.col("b").alias("other"), "chance")
+            .union(likely.select("b", "a", "chance")))
+    chosen = ends.groupBy("id").agg(
+        F.max(F.struct("chance", "other"))["other"].alias("best"),
+        F.min(F.when(F.col("chance") >= PERCENT / 100, F.col("other"))).alias("root"))
+    return (chosen.select("id", F.explode(F.array("best", "root")).alias("other")).filter("other is not null")
+            .select(F.least("id", "other").alias("a"), F.greatest("id", "other").alias("b")).distinct())
+
+
+def _between(likely: DataFrame, labels: DataFrame) -> DataFrame:
+    """The likeliest pair of each two components that the first links left apart."""
+    marked = (likely.join(labels.select(F.col("id").alias("a"), F.col("label").alias("of_a")), "a", "left")
+              .join(labels.select(F.col("id").alias("b"), F.col("label").alias("of_b")), "b", "left")
+              .withColumns({"of_a": F.coalesce("of_a", "a"), "of_b": F.coalesce("of_b", "b")}))
+    return (marked.filter("of_a <> of_b")
+            .groupBy(F.least("of_a", "of_b"), F.greatest("of_a", "of_b"))
+            .agg(F.max(F.struct("chance", "a", "b")).alias("m")).select("m.a", "m.b"))
+
+
 def near_duplicates(df: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """``doc_id, n_shingles, component_id, kept`` for every row.
 
@@ -278,11 +300,12 @@ def near_duplicates(df: DataFrame, doc_id: str = "doc_id", text: str = "text") -
     first = (bands.join(hubs, "key").filter((F.col("id") != F.col("hub")) & _fits(F.col("n"), F.col("hub_n")))
              .select(F.least("id", "hub").alias("a"), F.greatest("id", "hub").alias("b")).distinct())
     likely = keep(_estimated(first, classes), "likely")
-    best = (likely.select(F.col("a").alias("id"), "a", "b", "chance")
-            .union(likely.select("b", "a", "b", "chance")).groupBy("id")
-            .agg(F.max(F.struct("chance", "a", "b")).alias("m")).select("m.a", "m.b").distinct())
-    links = _verified(best, source)
-    more = _verified(_second_round(bands, hubs.drop("hub_n"), classes, components(links)), source)
+    links = _verified(_partners(likely), source)
+    labels = components(links)
+    links = keep(links.unionByName(_verified(_between(likely, labels), source)), "links")
+    labels = components(links)
+    candidates = keep(_second_round(bands, hubs.drop("hub_n"), classes, labels), "candidates")
+    more = _verified(candidates, source)
     labels = components(links.unionByName(more))
     of_class = classes.select("h1", "h2", "id").join(labels, "id", "left").select(
         "h1", "h2", F.coalesce("label", "id").alias("class_label"))
