@@ -161,17 +161,20 @@ class Index:
             key = (pieces[piece[k]][0], int(item[k]))
             region, edits = int(self.region[item[k]]), int(self.edits[item[k]])
             text = self.items[item[k]][1]
-            a = min(int(at[k]), len(text) - region)
-            if done.get(key, -1) >= a:  # inside a region already verified
+            # The region covers these q-grams; edits at its ends leave its start open.
+            high = min(int(at[k]), len(text) - region)
+            low_start = min(max(0, int(at[last[k] - 1]) + Q - region), high)
+            if done.get(key, -1) >= high:  # inside a region already verified
                 continue
             mid = int(np.median(diagonal[k:last[k]]))
-            begin = int(starts[piece[k]])
-            lo = max(begin, a + mid - 2 * edits - 1)
-            hi = min(int(starts[piece[k] + 1]) - 1, a + mid + region + 2 * edits + 1)
-            cost = aligned_edits(text[a:a + region], body[lo:hi], edits)
-            if cost <= edits:
-                found.setdefault(key, []).append((a, a + region, cost))
-                done[key] = a + region - 1
+            begin, end = int(starts[piece[k]]), int(starts[piece[k] + 1]) - 1
+            for a in range(high, low_start - 1, -1):
+                lo, hi = max(begin, a + mid - 2 * edits - 1), min(end, a + mid + region + 2 * edits + 1)
+                cost = aligned_edits(text[a:a + region], body[lo:hi], edits)
+                if cost <= edits:
+                    found.setdefault(key, []).append((a, a + region, cost))
+                    done[key] = a + region - 1
+                    break
         return found
 
 

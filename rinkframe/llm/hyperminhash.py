@@ -11,9 +11,8 @@ are found in two rounds, and no bucket is ever expanded into all its pairs:
 
 1. every class against one member of each of its buckets: of each class the best
    estimates are verified and components formed, then the best between components;
-2. in every bucket that still holds several components, all pairs of different
-   components, tested on registers in blocks of bounded size, the survivors
-   verified.
+2. every component against the classes that share a bucket with a hub of it, and
+   those among themselves, in blocks of bounded size: registers first, then sets.
 
 All pairs of classes that share a band are thus either in one component after the
 first round or tested in the second.
@@ -34,7 +33,7 @@ from pyspark.sql import functions as F
 
 from rinkframe.llm.graph import components
 from rinkframe.llm.store import keep
-from rinkframe.llm.words import hashed, mix, odd_numbers, utf8, window_hashes, word_hashes
+from rinkframe.llm.words import hashed, mix, odd_numbers, pack5, unpack5, utf8, window_hashes, word_hashes
 
 SHINGLE = 5
 # Links need 100 * intersection >= PERCENT * union.
@@ -45,9 +44,9 @@ REGISTERS = BANDS * ROWS
 MANTISSA = 10
 # Pairs estimated below this are dropped: five standard deviations under 0.75.
 LEAST_ESTIMATE = 0.55
-# Members of a bucket that one block holds, and rows that one task's group holds.
-BLOCK = 1024
-GROUP_ROWS = 20_000
+# Members of each side that one block holds, and rows that one task's group holds.
+BLOCK = 512
+GROUP_ROWS = 4_000
 # Ids up to this number (8 MB) are broadcast; more are joined by shuffle.
 MAX_BROADCAST = 1_000_000
 
@@ -150,99 +149,144 @@ def _estimated(pairs: DataFrame, classes: DataFrame) -> DataFrame:
             .filter(F.col("chance") >= LEAST_ESTIMATE))
 
 
-def _five_bytes(values: np.ndarray) -> bytes:
+def _upper(values: np.ndarray) -> np.ndarray:
     """The upper 40 bits of each hash: two sets of 20,000 get one false match in 2,700."""
-    return np.ascontiguousarray(values.astype(">u8").view(np.uint8).reshape(-1, 8)[:, :5]).tobytes()
+    return values >> np.uint64(24)
 
 
-def _joined_size(a: bytes, b: bytes) -> tuple[int, int]:
-    x, y = (np.frombuffer(s, "V5") for s in (a, b))
-    wide = [np.zeros((len(v), 8), np.uint8) for v in (x, y)]
-    for w, s in zip(wide, (a, b)):
-        w[:, 3:] = np.frombuffer(s, np.uint8).reshape(-1, 5)
-    p, q = (w.view(">u8").ravel().astype(np.uint64) for w in wide)
-    common = len(np.intersect1d(p, q, assume_unique=True))
-    return common, len(p) + len(q) - common
-
-
-def _verified(pairs: DataFrame, df: DataFrame) -> DataFrame:
-    """The pairs ``a, b`` whose full sets reach the similarity."""
-    pairs = pairs.select("a", "b")
-    wanted = keep(pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct(), "wanted")
+def _full_sets(source: DataFrame, wanted: DataFrame) -> DataFrame:
+    """``id, set`` for the wanted ids: the full sets, sorted, five bytes a shingle."""
     small = wanted.count() <= MAX_BROADCAST
 
     def full(batches):
         table = word_hashes()
         for batch in batches:
-            sets = [_five_bytes(shingles(b, table)) for b in utf8(batch.column(1))]
+            sets = [pack5(_upper(shingles(b, table))) for b in utf8(batch.column(1))]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sets, pa.binary())], ["id", "set"])
 
-    def enough(a: pa.Array, b: pa.Array) -> pa.Array:
-        sizes = (_joined_size(x, y) for x, y in zip(a.to_pylist(), b.to_pylist()))
-        return pa.array([100 * both >= PERCENT * any_ for both, any_ in sizes], pa.bool_())
-
-    texts = (df.withColumnRenamed("doc_id", "id")
+    texts = (source.withColumnRenamed("doc_id", "id")
              .join(F.broadcast(wanted) if small else wanted, "id", "left_semi"))
-    sets = texts.select("id", "text").mapInArrow(full, "id bigint, set binary")
-    udf = F.arrow_udf(enough, "boolean")
+    return texts.select("id", "text").mapInArrow(full, "id bigint, set binary")
+
+
+def _verified(pairs: DataFrame, source: DataFrame) -> DataFrame:
+    """The pairs ``a, b`` whose full sets reach the similarity."""
+    pairs = keep(pairs.select("a", "b"), "pairs")
+    wanted = keep(pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct(), "wanted")
+
+    def enough(a: pa.Array, b: pa.Array) -> pa.Array:
+        out = []
+        for x, y in zip(a.to_pylist(), b.to_pylist()):
+            p, q = unpack5(x), unpack5(y)
+            common = len(np.intersect1d(p, q, assume_unique=True))
+            out.append(100 * common >= PERCENT * (len(p) + len(q) - common))
+        return pa.array(out, pa.bool_())
+
+    sets, udf = _full_sets(source, wanted), F.arrow_udf(enough, "boolean")
     return keep(pairs.join(sets.select(F.col("id").alias("b"), F.col("set").alias("set_b")), "b")
                 .join(sets.select(F.col("id").alias("a"), F.col("set").alias("set_a")), "a")
                 .filter(udf("set_a", "set_b")).select("a", "b").distinct(), "links")
 
 
 PAIR = "a bigint, b bigint"
+LIVE = "family bigint, x bigint, y bigint, id bigint"
+
 
+def _blocks(table: pa.Table, columns: list[str]):
+    """Sorted columns of a group, its row order, and (first, split, end) of each block.
 
-def _block_pairs(table: pa.Table) -> pa.Table:
-    """Pairs of different components among the members of each block of buckets."""
-    column = {c: table.column(c).to_numpy() for c in ("key", "x", "y", "id", "n", "label", "left")}
-    order = np.lexsort((column["id"], column["left"], column["y"], column["x"], column["key"]))
-    column = {c: v[order] for c, v in column.items()}
+    Members before ``split`` meet those behind it; a block of one side has none behind
+    and its members meet each other.
+    """
+    values = {c: table.column(c).to_numpy() for c in ("family", "x", "y", "id", "left", *columns)}
+    order = np.lexsort((values["id"], values["left"], values["y"], values["x"], values["family"]))
+    values = {c: v[order] for c, v in values.items()}
+    change = np.any([values[c][1:] != values[c][:-1] for c in ("family", "x", "y")], axis=0)
+    cuts = np.concatenate(([0], np.flatnonzero(change) + 1, [len(order)])).tolist()
+    blocks = []
+    for lo, hi in zip(cuts[:-1], cuts[1:]):
+        split = hi - int(values["left"][lo:hi].sum())
+        blocks.append((lo, hi if split == lo else split, hi))
+    return values, order, blocks
+
+
+def _others(values: dict, i: int, split: int, hi: int) -> np.ndarray:
+    """Places that member ``i`` is compared with: other components, sizes that fit."""
+    lo = i + 1 if split == hi else split
+    n, m = values["n"][i], values["n"][lo:hi]
+    fits = (100 * np.minimum(n, m) >= PERCENT * np.maximum(n, m)) & (values["label"][i] != values["label"][lo:hi])
+    return lo + np.flatnonzero(fits)
+
+
+def _live_members(table: pa.Table) -> pa.Table:
+    """Members of blocks that some other member's registers come near."""
+    values, order, blocks = _blocks(table, ["n", "label"])
     regs = np.frombuffer(b"".join(table.column("registers").to_pylist()), np.uint16)
     regs = regs.reshape(-1, REGISTERS)[order]
-    change = np.any([column[c][1:] != column[c][:-1] for c in ("key", "x", "y")], axis=0)
-    cuts = np.concatenate(([0], np.flatnonzero(change) + 1, [len(order)]))
-    found = []
-    for lo, hi in zip(cuts[:-1].tolist(), cuts[1:].tolist()):
-        left = column["left"][lo:hi].astype(bool)
-        split = int(hi - left.sum())
-        alone = split == lo or split == hi  # one side only: all pairs within
-        for i in range(lo, hi if alone else split):
-            j0 = i + 1 if alone else split
-            n, m = column["n"][i], column["n"][j0:hi]
-            fits = (100 * np.minimum(n, m) >= PERCENT * np.maximum(n, m)) & (
-                column["label"][i] != column["label"][j0:hi])
-            j = j0 + np.flatnonzero(fits)
+    live = np.zeros(len(order), bool)
+    for lo, split, hi in blocks:
+        for i in range(lo, split):
+            j = _others(values, i, split, hi)
             if len(j):
                 equal = (regs[j] == regs[i]).sum(axis=1)
-                j = j[estimate(equal, np.full(len(j), n), column["n"][j]) >= LEAST_ESTIMATE]
-                found += [(min(p), max(p)) for p in ((int(column["id"][i]), int(column["id"][k])) for k in j)]
-    found = sorted(set(found))
-    return pa.table({"a": pa.array([p[0] for p in found], pa.int64()),
-                     "b": pa.array([p[1] for p in found], pa.int64())})
+                j = j[estimate(equal, np.full(len(j), values["n"][i]), values["n"][j]) >= LEAST_ESTIMATE]
+                live[j] = True
+                live[i] |= len(j) > 0
+    return pa.table({c: pa.array(values[c][live], pa.int64()) for c in ("family", "x", "y", "id")})
 
 
-def _second_round(bands: DataFrame, hubs: DataFrame, classes: DataFrame, labels: DataFrame) -> DataFrame:
-    """Pairs of different components within buckets, above the least estimate.
-
-    A bucket's members are split into those of its hub's component and the others.
-    Others meet the hub's side block by block, and each other block by block, so a
-    member is copied once per block of others (one, unless there are over ``BLOCK``).
+def _block_links(table: pa.Table) -> pa.Table:
+    """Links of a block on full sets: enough of them to join all that are linked."""
+    values, order, blocks = _blocks(table, ["n", "label"])
+    sets = [unpack5(b) for b in table.column("set").take(pa.array(order)).to_pylist()]
+    found = []
+    for lo, split, hi in blocks:
+        sizes = np.array([len(s) for s in sets[lo:hi]])
+        _, column = np.unique(np.concatenate(sets[lo:hi]), return_inverse=True)
+        begin = np.cumsum(sizes) - sizes
+        marked = np.zeros(column.max() + 1, np.int64)
+        label = values["label"][lo:hi].copy()
+        for i in range(lo, split):
+            own = column[begin[i - lo]:begin[i - lo] + sizes[i - lo]]
+            j = _others(values, i, split, hi) - lo
+            j = j[label[j] != label[i - lo]]
+            if not len(j):
+                continue
+            marked[own] = 1
+            at = np.concatenate([np.arange(begin[k], begin[k] + sizes[k]) for k in j])
+            common = np.add.reduceat(marked[column[at]], np.cumsum(sizes[j]) - sizes[j])
+            marked[own] = 0
+            union = sizes[i - lo] + sizes[j] - common
+            for k in j[100 * common >= PERCENT * union].tolist():
+                if label[k] != label[i - lo]:
+                    label[label == label[k]] = label[i - lo]
+                    found.append((int(values["id"][i]), int(values["id"][lo + k])))
+    return pa.table({"a": pa.array([min(p) for p in found], pa.int64()),
+                     "b": pa.array([max(p) for p in found], pa.int64())})
+
+
+def _second_round(bands: DataFrame, hubs: DataFrame, classes: DataFrame, labels: DataFrame,
+                  source: DataFrame) -> DataFrame:
+    """Links between components whose members share buckets.
+
+    A family is a component with all classes that share a bucket with a hub of it.
+    Its own members (the left side) meet the others block by block, and the others
+    each other. Registers drop most members of a block, and the sets of the rest
+    decide, so what leaves a block is never more than its members.
     """
-    member = (bands.join(hubs, "key")
-              .join(labels.withColumnRenamed("label", "found"), "id", "left")
-              .withColumn("label", F.coalesce("found", "id")))
-    member = keep(member.join(
-        labels.select(F.col("id").alias("hub"), F.col("label").alias("hub_found")), "hub", "left")
-        .withColumn("left", F.col("label") == F.coalesce("hub_found", "hub"))
-        .select("key", "id", "n", "label", "left"), "members")
-    mixed = (member.groupBy("key").agg(
+    of_hub = labels.select(F.col("id").alias("hub"), F.col("label").alias("hub_label"))
+    member = keep(bands.join(hubs, "key").select("id", "n", "hub").distinct()
+                  .join(labels, "id", "left").join(of_hub, "hub", "left")
+                  .select(F.coalesce("hub_label", "hub").alias("family"), "id", "n",
+                          F.coalesce("label", "id").alias("label")).distinct()
+                  .withColumn("left", F.col("label") == F.col("family")), "members")
+    mixed = (member.groupBy("family").agg(
         F.sum(F.col("left").cast("int")).alias("n_left"), F.sum((~F.col("left")).cast("int")).alias("n_other"))
         .filter("n_other > 0")
-        .select("key", F.ceil(F.col("n_left") / BLOCK).alias("blocks"), F.ceil(F.col("n_other") / BLOCK).alias("others")))
-    rows = member.join(mixed, "key")
+        .select("family", F.ceil(F.col("n_left") / BLOCK).alias("blocks"), F.ceil(F.col("n_other") / BLOCK).alias("others")))
+    rows = member.join(mixed, "family")
     at = F.pmod(F.xxhash64("id"), F.when(F.col("left"), F.col("blocks")).otherwise(F.col("others")))
-    # A place is (x, y, left): x counts blocks of the hub's side from 0 and of others from -1 down.
+    # A block is (x, y): blocks of the left side count from 0 up, of the others from -1 down.
     mine = F.transform(F.sequence(F.lit(0), F.col("others") - 1), lambda o: F.struct(
         F.col("at").alias("x"), (-1 - o).alias("y"), F.lit(1).alias("left")))
     facing = F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda k: F.struct(
@@ -250,14 +294,17 @@ def _second_round(bands: DataFrame, hubs: DataFrame, classes: DataFrame, labels:
     among = F.transform(F.sequence(F.lit(0), F.col("others") - 1), lambda o: F.struct(
         (-1 - F.least(o, F.col("at"))).alias("x"), (-1 - F.greatest(o, F.col("at"))).alias("y"),
         (o < F.col("at")).cast("int").alias("left")))
-    rows = (rows.withColumn("at", at)
-            .withColumn("place", F.explode(F.when(F.col("left"), mine).otherwise(F.concat(facing, among))))
-            .select("key", "id", "n", "label", "place.x", "place.y", "place.left"))
-    rows = keep(rows, "places")
+    rows = keep(rows.withColumn("at", at)
+                .withColumn("place", F.explode(F.when(F.col("left"), mine).otherwise(
+                    F.when(F.col("blocks") > 0, F.concat(facing, among)).otherwise(among))))
+                .select("family", "id", "n", "label", "place.x", "place.y", "place.left"), "places")
     groups = max(1, -(-rows.count() // GROUP_ROWS))
-    return (rows.join(classes.select("id", "registers"), "id")
-            .withColumn("part", F.pmod(F.xxhash64("key", "x", "y"), F.lit(groups)))
-            .groupBy("part").applyInArrow(_block_pairs, PAIR).distinct())
+    rows = rows.withColumn("part", F.pmod(F.xxhash64("family", "x", "y"), F.lit(groups)))
+    live = keep(rows.join(classes.select("id", "registers"), "id")
+                .groupBy("part").applyInArrow(_live_members, LIVE), "live")
+    wanted = keep(live.select("id").distinct(), "wanted")
+    return keep(rows.join(live, ["family", "x", "y", "id"]).join(_full_sets(source, wanted), "id")
+                .groupBy("part").applyInArrow(_block_links, PAIR).distinct(), "links")
 
 
 def _partners(likely: DataFrame) -> DataFrame:
@@ -304,8 +351,7 @@ def near_duplicates(df: DataFrame, doc_id: str = "doc_id", text: str = "text") -
     labels = components(links)
     links = keep(links.unionByName(_verified(_between(likely, labels), source)), "links")
     labels = components(links)
-    candidates = keep(_second_round(bands, hubs.drop("hub_n"), classes, labels), "candidates")
-    more = _verified(candidates, source)
+    more = _second_round(bands, hubs.select("key", "hub"), classes, labels, source)
     labels = components(links.unionByName(more))
     of_class = classes.select("h1", "h2", "id").join(labels, "id", "left").select(
         "h1", "h2", F.coalesce("label", "id").alias("class_label"))
