@@ -30,6 +30,7 @@ import math
 import numpy as np
 import pyarrow as pa
 import xxhash
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -38,9 +39,9 @@ from rinkframe.llm.words import odd_numbers, pack5, unpack5, utf8
 LENGTH = 50
 GRAM = 24
 CHUNK_BITS = 18
-BATCH_BYTES = 4_000_000
+BATCH_BYTES = 2_000_000
 # Suffixes of so many bytes are sorted at once.
-SHARD_BYTES = 1 << 20
+SHARD_BYTES = 1 << 19
 # An anchor in more batches than this is split by content.
 HOT_BATCHES = 256
 NO_ID = 2**63 - 1
@@ -201,7 +202,8 @@ def common_prefixes(text: np.ndarray, order: np.ndarray, depth: int) -> np.ndarr
 
 
 def _shard_classes(stretches: list[bytes], docs: np.ndarray, length: int):
-    """Sorted distinct strings of a shard, their smallest doc_id, and each start's string."""
+    """A shard's text, a place of each distinct string in their order, their smallest
+    doc_id, each start's string, and how many starts each stretch has."""
     text = np.frombuffer(b"\0".join(stretches), np.uint8)
     sizes = np.array([len(s) for s in stretches])
     begin = np.cumsum(sizes + 1) - sizes - 1
@@ -212,18 +214,26 @@ def _shard_classes(stretches: list[bytes], docs: np.ndarray, length: int):
     prefix = common_prefixes(text, order, length)
     group = np.empty(len(text), np.int64)
     group[order] = np.cumsum(prefix < length)
-    _, which = np.unique(group[place], return_inverse=True)
+    _, which = np.unique(group[place], return_inverse=True)  # numbered as sorted
     least = np.full(which.max() + 1, NO_ID)
     np.minimum.at(least, which, docs[number])
     sample = np.empty(len(least), np.int64)
     sample[which] = place
-    strings = np.lib.stride_tricks.sliding_window_view(text, length)[sample]
-    return np.ascontiguousarray(strings).view(f"S{length}").ravel(), least, which, starts
+    return text, sample, least, which, starts
+
+
+def _strings(text: np.ndarray, places: np.ndarray, length: int) -> np.ndarray:
+    view = np.lib.stride_tricks.sliding_window_view(text, length)[places]
+    return np.ascontiguousarray(view).view(f"S{length}").ravel()
 
 
 def least_documents(stretches: list[bytes], docs: np.ndarray, length: int = LENGTH,
                     shard_bytes: int = SHARD_BYTES) -> list[np.ndarray]:
-    """For each start of each distinct stretch, the smallest doc_id with its string."""
+    """For each start of each distinct stretch, the smallest doc_id with its string.
+
+    The sorted strings of all shards are merged one shard at a time, each found in what
+    is there by binary search or inserted.
+    """
     cuts, size = [0], 0
     for k, s in enumerate(stretches):
         if size and size + len(s) > shard_bytes:
@@ -233,24 +243,21 @@ def least_documents(stretches: list[bytes], docs: np.ndarray, length: int = LENG
     cuts.append(len(stretches))
     shards = [_shard_classes(stretches[a:b], docs[a:b], length)
               for a, b in zip(cuts[:-1], cuts[1:]) if b > a]
-    for i, (mine, least, _, _) in enumerate(shards):
-        for other, theirs, _, _ in shards[:i]:
-            at = np.minimum(np.searchsorted(other, mine), len(other) - 1)
-            same = np.flatnonzero(other[at] == mine)
-            both = np.minimum(least[same], theirs[at[same]])
-            least[same] = both
-            theirs[at[same]] = both
-    # A string of three shards can have learnt its least after an earlier merge.
-    for i in range(len(shards) - 1, -1, -1):
-        mine, least, _, _ = shards[i]
-        for other, theirs, _, _ in shards[:i]:
-            at = np.minimum(np.searchsorted(other, mine), len(other) - 1)
-            same = np.flatnonzero(other[at] == mine)
-            both = np.minimum(least[same], theirs[at[same]])
-            least[same] = both
-            theirs[at[same]] = both
+    known, earliest = np.empty(0, f"S{length}"), np.empty(0, np.int64)
+    if len(shards) > 1:
+        for text, sample, least, _, _ in shards:
+            mine = _strings(text, sample, length)
+            at = np.searchsorted(known, mine)
+            there = np.zeros(len(mine), bool)
+            inside = at < len(known)
+            there[inside] = known[at[inside]] == mine[inside]
+            earliest[at[there]] = np.minimum(earliest[at[there]], least[there])
+            known = np.insert(known, at[~there], mine[~there])
+            earliest = np.insert(earliest, at[~there], least[~there])
     out = []
-    for _, least, which, starts in shards:
+    for text, sample, least, which, starts in shards:
+        if len(shards) > 1:
+            least = earliest[np.searchsorted(known, _strings(text, sample, length))]
         out += np.split(least[which], np.cumsum(starts)[:-1])
     return out
 
@@ -364,7 +371,7 @@ def _send(parts: int):
                 np.array([d[3] for d in some], np.uint8).tobytes(),
                 np.array([len(d[1]) for d in some], np.uint16).tobytes(),
                 np.array([min(int(ids[t]) for t, _, _ in f) for f in found[a:b]], np.int64).tobytes(),
-                b"".join(d[1] for d in some)))
+                zstandard.compress(b"".join(d[1] for d in some), 3)))
         return _frame(rows, STRETCHES)
     return work
 
@@ -375,7 +382,7 @@ def _answer(table: pa.Table) -> pa.Table:
     docs: list[int] = []
     asked = []
     for row in table.select(["keys", "hot", "sizes", "docs", "body"]).to_pylist():
-        body, at, mine = row["body"], 0, []
+        body, at, mine = zstandard.decompress(row["body"]), 0, []
         for key, size, doc in zip(
                 np.frombuffer(row["keys"], np.uint64).tolist(), np.frombuffer(row["sizes"], np.uint16).tolist(),
                 np.frombuffer(row["docs"], np.int64).tolist()):
