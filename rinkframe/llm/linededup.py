@@ -134,22 +134,29 @@ def _small(df: DataFrame):
 
 def _all_lines(df: DataFrame, doc_id: str, text: str) -> DataFrame:
     """``doc, version, at, line`` and the line's two hashes, for lines long enough."""
-    return (df.select(F.col(doc_id).alias("doc"), F.xxhash64(text).alias("version"),
-                      F.posexplode(F.split(F.col(text), "\n")).alias("at", "line"))
+    parts = df.select(F.col(doc_id).alias("doc"), F.xxhash64(text).alias("version"),
+                      F.split(F.col(text), "\n").alias("parts"))
+    return (parts.select("doc", "version", F.posexplode("parts").alias("at", "line"))
             .filter(F.length("line") >= LEAST_CHARS)
             .withColumns({"h1": F.xxhash64("line"), "h2": F.xxhash64(F.lit(1), "line")}))
 
 
 def near_lines(lines: DataFrame, edits: int = EDITS) -> tuple[DataFrame, DataFrame]:
     """First places of distinct lines, and the lines that are near an earlier one."""
-    distinct = keep(lines.groupBy("h1", "h2").agg(
-        F.min(F.struct("doc", "version", "at")).alias("first"),
-        F.any_value(segment_keys(F.col("line"), edits)).alias("keys"),
-        F.any_value(letter_counts(F.col("line"))).alias("letters")), "lines")
-    rows = distinct.select("h1", "h2", "first", "letters", F.inline("keys"))
+    keyed = lines.select("h1", "h2", F.struct("doc", "version", "at").alias("place"),
+                         segment_keys(F.col("line"), edits).alias("keys"))
+    distinct = keep(keyed.groupBy("h1", "h2").agg(
+        F.min("place").alias("first"), F.any_value("keys").alias("keys")), "lines")
+    rows = distinct.select("h1", "h2", "first", F.inline("keys"))
     met = keep(rows.groupBy("key").agg(F.count("*").alias("n"), F.max("own").alias("own"))
                .filter("n > 1 and own").select("key"), "keys")
     rows = keep(rows.join(_small(met), "key", "left_semi"), "meetings")
+    # Only lines that share a key with another are fetched and counted.
+    wanted = keep(rows.select("h1", "h2").distinct(), "wanted")
+    texts = keep(lines.join(_small(wanted), ["h1", "h2"], "left_semi")
+                 .groupBy("h1", "h2").agg(F.any_value("line").alias("line"))
+                 .withColumn("letters", letter_counts(F.col("line"))), "texts")
+    rows = rows.join(texts.select("h1", "h2", "letters"), ["h1", "h2"])
     a = rows.filter("own").select("key", *[F.col(c).alias(f"a_{c}") for c in ("h1", "h2", "first", "letters")])
     b = rows.select("key", "own", *[F.col(c).alias(f"b_{c}") for c in ("h1", "h2", "first", "letters")])
     same_side = F.col("own") & (F.struct("a_h1", "a_h2") >= F.struct("b_h1", "b_h2"))
@@ -158,11 +165,6 @@ def near_lines(lines: DataFrame, edits: int = EDITS) -> tuple[DataFrame, DataFra
                         & (_counts_apart(F.col("a_letters"), F.col("b_letters")) <= 2 * edits))
                  .select("a_h1", "a_h2", "b_h1", "b_h2", (F.col("a_first") < F.col("b_first")).alias("a_is_first"))
                  .distinct(), "pairs")
-    wanted = keep(pairs.select(F.col("a_h1").alias("h1"), F.col("a_h2").alias("h2"))
-                  .union(pairs.select("b_h1", "b_h2")).distinct(), "wanted")
-    texts = keep(lines.join(_small(wanted), ["h1", "h2"], "left_semi")
-                 .groupBy("h1", "h2").agg(F.any_value("line").alias("line")), "texts")
-
     def side(k):
         return texts.select(F.col("h1").alias(f"{k}_h1"), F.col("h2").alias(f"{k}_h2"), F.col("line").alias(k))
     read = pairs.join(side("a"), ["a_h1", "a_h2"]).join(side("b"), ["b_h1", "b_h2"])
