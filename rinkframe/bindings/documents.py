@@ -16,12 +16,11 @@ from rinkframe.specs import STANDINGS
 def documents(rows: DataFrame, feed: str, key: str, day: str, body: str) -> DataFrame:
     """Documents whose JSON text is built from each row by a SQL struct.
 
-    A table in fewer splits than there are cores is spread first, as reading JSON
-    is dear; a large table has splits enough.
+    The rows are spread by key first, as reading JSON is dear and a small table is
+    one split.
     """
-    cores = rows.sparkSession.sparkContext.defaultParallelism
-    if rows.rdd.getNumPartitions() < cores:
-        rows = rows.repartition(cores)
+    spread = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    rows = rows.repartition(spread, F.expr(key))
     texts = rows.selectExpr(
         f"cast({key} AS string) AS request_key", f"cast({day} AS date) AS feed_date",
         f"to_json({body}) AS payload")
@@ -247,7 +246,7 @@ def _order_goals(view) -> DataFrame:
         "o_custkey AS scorer_id", "CASE WHEN o_orderstatus = 'F' THEN 'GOAL' ELSE 'SHOT' END AS event_type"))
 
 
-def _player_sql(matched: str) -> str:
+def _player_sql() -> str:
     one = """SELECT 'player_season.{m}' AS name, count(*) FILTER ({bad}) AS violations,
       count(*) AS total, CAST(count(*) FILTER ({bad}) = 0 AS VARCHAR) AS passed,
       count(*) AS matched FROM pairs"""
@@ -257,19 +256,14 @@ def _player_sql(matched: str) -> str:
       FROM orders GROUP BY o_custkey),
     pairs AS (
       SELECT g.goals, c_custkey % 5 + c_nationkey % 2 AS theirs, c_nationkey AS nation
-      FROM goals g JOIN customer ON c_custkey = player_id ORDER BY player_id {matched})
+      FROM goals g JOIN customer ON c_custkey = player_id)
     """ + " UNION ALL ".join(
         one.format(m=m, bad=wrong.get(m, "false")) for m in reconcile.PLAYER_METRICS)
 
 
-@query("r2_player_season", _player_sql("LIMIT 30"))
-def player_season(view):
-    return _words(reconcile.player_season(_order_goals(view), season_totals(view)))
-
-
-@query("r2_player_season_all", _player_sql(""))
+@query("r2_player_season_all", _player_sql())
 def player_season_all(view):
-    return _words(reconcile.player_season(_order_goals(view), season_totals(view), max_players=None))
+    return _words(reconcile.player_season(_order_goals(view), season_totals(view)))
 
 
 @query("player_refresh_rows", """

@@ -6,9 +6,6 @@ from pyspark.sql import Column, functions as F
 
 PERIOD_SECONDS = 1200
 
-# Minutes above this overflow no 64-bit sum of seconds; larger ones are bad text.
-_MAX_MINUTES = 10**12
-
 
 def _parts(text: Column) -> tuple[Column, Column, Column]:
     trimmed = F.trim(text)
@@ -16,16 +13,16 @@ def _parts(text: Column) -> tuple[Column, Column, Column]:
     minutes, seconds = left.try_cast("bigint"), right.try_cast("bigint")
     ok = (
         (F.concat(left, F.lit(":"), right) == trimmed)
-        & minutes.between(0, _MAX_MINUTES)
+        & (minutes >= 0)
         & seconds.between(0, 59)
     )
     return minutes, seconds, F.coalesce(ok, F.lit(False))
 
 
 def clock_seconds(text: Column) -> Column:
-    """Seconds of ``M:SS`` text; NULL for NULL and for text that is no clock."""
+    """Seconds of ``M:SS`` text; NULL for NULL, for text that is no clock and beyond 64 bits."""
     minutes, seconds, ok = _parts(text)
-    return F.when(ok, minutes * 60 + seconds)
+    return F.when(ok, F.try_add(F.try_multiply(minutes, F.lit(60)), seconds))
 
 
 def clock_is_bad(text: Column) -> Column:

@@ -7,6 +7,13 @@ from pyspark.sql import Column, DataFrame, functions as F, types as T
 from rinkframe.specs import TableSpec
 
 
+def whole_number(value: Column, target: str = "bigint") -> Column:
+    """Whole number of text or a number: ``12``, ``"12"`` and ``12.0``; else NULL."""
+    exact = value.try_cast("decimal(38,6)")
+    return F.coalesce(
+        value.try_cast(target), F.when(exact == F.floor(exact), exact).try_cast(target))
+
+
 def to_type(name: str, have: T.DataType | None, want: T.DataType) -> str:
     """SQL cast of a column: what does not fit is NULL, a NULL array is empty."""
     target = want.simpleString()

@@ -235,13 +235,19 @@ def season_totals(documents: DataFrame, season_code) -> DataFrame:
 # --- shifts ------------------------------------------------------------------
 
 
+def _shift_number_text(s: Column) -> Column:
+    """Text of the shift number, a variant; NULL if it is absent or an explicit NULL."""
+    return F.try_variant_get(s["shiftNumber"], "$", "string")
+
+
 def _shift_numbers(s: Column) -> dict[str, Column]:
     """Typed parts of one raw shift struct."""
     return {
-        "game_id": s["gameId"].try_cast("bigint"),
-        "player_id": s["playerId"].try_cast("bigint"),
-        "team_id": s["teamId"].try_cast("bigint"),
-        "period": s["period"].try_cast("bigint"),
+        "game_id": coerce.whole_number(s["gameId"]),
+        "player_id": coerce.whole_number(s["playerId"]),
+        "team_id": coerce.whole_number(s["teamId"]),
+        "period": coerce.whole_number(s["period"]),
+        "shift_number": coerce.whole_number(_shift_number_text(s)),
         "start": clock.clock_seconds(s["startTime"]),
         "end": clock.clock_seconds(s["endTime"]),
     }
@@ -249,8 +255,8 @@ def _shift_numbers(s: Column) -> dict[str, Column]:
 
 def shift_number_is_bad(s: Column) -> Column:
     """Shift number that is there but is no number."""
-    raw = s["shiftNumber"]
-    return raw.isNotNull() & (raw != "") & raw.try_cast("bigint").isNull()
+    raw = _shift_number_text(s)
+    return raw.isNotNull() & (raw != "") & coerce.whole_number(raw).isNull()
 
 
 def shift_row_is_timed(s: Column) -> Column:
@@ -277,7 +283,7 @@ def shifts(documents: DataFrame) -> DataFrame:
         "game_date",
         n["player_id"].alias("player_id"),
         n["team_id"].alias("team_id"),
-        F.coalesce(s["shiftNumber"].try_cast("bigint"), F.lit(0)).alias("shift_number"),
+        F.coalesce(n["shift_number"], F.lit(0)).alias("shift_number"),
         n["period"].alias("period"),
         clock.shift_period_type(n["period"]).alias("period_type"),
         s["startTime"].alias("start_in_period"),
@@ -293,8 +299,8 @@ def shifts(documents: DataFrame) -> DataFrame:
 def merge_shifts(documents: DataFrame) -> DataFrame:
     """Shifts used to find who was on the ice.
 
-    Unreadable shifts are left out; empty and inverted ones stay, as they count
-    as shift data of their game. The game is the one the document was asked for.
+    Unreadable shifts are left out, as are those whose number is there but NULL;
+    empty and inverted ones stay, as they count as shift data of their game. The game is the one the document was asked for.
     """
     s = F.col("shift")
     raw = documents.select(_key_as_id().alias("game_id"), F.explode("doc.data").alias("shift"))
@@ -304,9 +310,7 @@ def merge_shifts(documents: DataFrame) -> DataFrame:
         n["player_id"].alias("player_id"),
         n["team_id"].alias("team_id"),
         n["period"].alias("period"),
-        F.when(s["shiftNumber"].isNull(), 0)
-        .otherwise(s["shiftNumber"].try_cast("bigint"))
-        .alias("shift_number"),
+        F.when(s["shiftNumber"].isNull(), 0).otherwise(n["shift_number"]).alias("shift_number"),
         clock.abs_seconds(n["period"], n["start"]).alias("start_abs_seconds"),
         clock.abs_seconds(n["period"], n["end"]).alias("end_abs_seconds"),
     ).where(

@@ -25,6 +25,9 @@ FAN_OUT = 64
 _LEVELS = 3
 _BLOCK = 1 << 18
 _NEVER = -(2**63)
+# The last level has one bucket for the whole game, kept in this many copies so that
+# the seconds of one game do not all meet in one place.
+_COPIES = 16
 
 
 def _level_width(level: int, bucket: int) -> int:
@@ -87,9 +90,10 @@ def bucketed_shifts(
         F.lit(0).cast("bigint").alias("s_bucket"),
         F.lit(True).alias("s_marker"),
     )
-    return rows.withColumn("s_marker", F.lit(False)).unionByName(
-        markers, allowMissingColumns=True
-    )
+    marked = rows.withColumn("s_marker", F.lit(False)).unionByName(markers, allowMissingColumns=True)
+    copies = F.when(level == _LEVELS - 1, F.sequence(F.lit(0), F.lit(_COPIES - 1))).otherwise(
+        F.array(F.lit(0)))
+    return marked.withColumn("s_copy", F.explode(copies))
 
 
 def with_on_ice(
@@ -108,7 +112,7 @@ def with_on_ice(
     The ids are ascending lists, a player with two overlapping shifts counts
     twice, and players of other teams are left out. Games without any shift get
     empty lists and quality NO_SHIFTS; events without a time get empty lists.
-    ``event`` is a number that is unique within a game and not NULL.
+    ``event`` is a number; it only splits seconds that very many events share.
     """
     # Plain join keys: NULL stands as a number that no shift can meet, so that the
     # aggregated answers are joined back without another shuffle.
@@ -116,7 +120,7 @@ def with_on_ice(
     tagged = events.select(
         "*",
         *(F.coalesce(F.col(c).cast("bigint"), F.lit(_NEVER)).alias(k) for k, c in numbers.items()),
-        F.floor(F.col(event) / _BLOCK).alias("_block"),
+        F.coalesce(F.floor(F.col(event) / _BLOCK), F.lit(0)).alias("_block"),
     )
     keys = [*numbers, "_block"]
     slots = tagged.select(*keys).distinct()
@@ -124,7 +128,11 @@ def with_on_ice(
     level = F.col("level")
     probes = slots.withColumn(
         "level", F.explode(F.array(*(F.lit(n) for n in range(_LEVELS))))
-    ).withColumn("bucket", _bucket_of(level, F.col("_t"), bucket))
+    ).withColumns({
+        "bucket": _bucket_of(level, F.col("_t"), bucket),
+        "copy": F.when(level == _LEVELS - 1, F.pmod(F.xxhash64("_t", "_block"), F.lit(_COPIES)))
+        .otherwise(F.lit(0)).cast("int"),
+    })
     right = bucketed_shifts(shifts, game=game, bucket=bucket, **shift_columns)
     covers = F.col("s_marker") | (
         (F.col("s_start") <= F.col("_t"))
@@ -136,6 +144,7 @@ def with_on_ice(
         (F.col("_g") == F.col("s_game"))
         & (level == F.col("s_level"))
         & (F.col("bucket") == F.col("s_bucket"))
+        & (F.col("copy") == F.col("s_copy"))
         & covers,
     )
     at_home = F.col("s_team") == F.col("_h")

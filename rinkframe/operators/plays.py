@@ -67,23 +67,25 @@ def clock_is_bad(plays: Column) -> Column:
     return F.coalesce(bad, F.lit(False))
 
 
-def play_rows(documents: DataFrame) -> DataFrame:
+def play_rows(documents: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
     """One row per play with ``pos``, its place in the document.
 
     ``documents`` is a document frame with a ``landing`` struct beside ``doc``.
-    Scores are still those of the feed (``home_score``, ``away_score``).
+    Scores are still those of the feed (``home_score``, ``away_score``). ``keep``
+    names columns of the document to carry along.
     """
     h = header()
     p = F.col("play")
     d = p["details"]
     unpacked = documents.select(
-        *(v.alias(k) for k, v in h.items()), F.posexplode("doc.plays").alias("pos", "play")
+        *(v.alias(k) for k, v in h.items()), *keep, F.posexplode("doc.plays").alias("pos", "play")
     )
     kind = codes.event_type(p["typeDescKey"])
     period = p["periodDescriptor"]["number"].cast("bigint")
     sides = codes.situation(p["situationCode"])
     return unpacked.select(
         *h,
+        *keep,
         "pos",
         p["eventId"].alias("event_id"),
         p["sortOrder"].alias("sort_order"),
@@ -117,14 +119,19 @@ def play_rows(documents: DataFrame) -> DataFrame:
     )
 
 
-def complete_plays(rows: DataFrame, merge_shifts: DataFrame) -> DataFrame:
+def complete_plays(rows: DataFrame, merge_shifts: DataFrame, key: str = "game_id") -> DataFrame:
     """Play rows with carried scores, players on the ice and strength label.
 
+    ``key`` names the game that a document was asked for, which is also the game of
+    its shifts; the id inside the document may differ and is only put out.
+
     ``rows`` is read more than once; hand over a stored frame where computing it
     is dear.
     """
-    scored = carry.carry_scores(rows, "pos", {"home_score": "home_score", "away_score": "away_score"})
-    iced = onice.with_on_ice(scored, merge_shifts, event="pos")
+    scored = carry.carry_scores(
+        rows, "pos", {"home_score": "home_score", "away_score": "away_score"}, keys=(key,))
+    iced = onice.with_on_ice(
+        scored, merge_shifts.withColumnRenamed("game_id", key), event="pos", game=key)
     label = codes.strength_state(
         F.col("home_skaters_on_ice"), F.col("away_skaters_on_ice"),
         F.col("home_goalie_on_ice"), F.col("away_goalie_on_ice"),

@@ -57,10 +57,11 @@ class ChunkPlan:
                 flatten.games_from_landing(self._documents("games"), keep=("feed_date",)),
             )
         if name == "plays":
-            rows = self._keep(play_ops.play_rows(self._documents("plays")), "play_rows")
+            asked = self._documents("plays").withColumnRenamed("game_id", "asked_id")
+            rows = self._keep(play_ops.play_rows(asked, keep=("asked_id",)), "play_rows")
             charts = self._documents("plays", "shift_charts")
             merged = self._keep(flatten.merge_shifts(charts), "merge_shifts")
-            return play_ops.complete_plays(rows, merged)
+            return play_ops.complete_plays(rows, merged, key="asked_id")
         return _SIMPLE[name](self._documents(name))
 
     @property
@@ -107,6 +108,18 @@ def fatal_documents(docs: dict[str, DataFrame], tables=ALL_TABLES) -> DataFrame:
     return rows
 
 
+def missing_days(docs: dict[str, DataFrame], start: str, end: str) -> DataFrame:
+    """Days of a chunk whose score or standings document did not land: ``feed, day``."""
+    spark = docs["score"].sparkSession
+    days = spark.range(1).select(
+        feeds.dates_between(F.lit(start).cast("date"), F.lit(end).cast("date")).alias("feed_date"))
+    return reduce(DataFrame.unionByName, (
+        days.join(docs[feed].select("feed_date"), "feed_date", "left_anti")
+        .select(F.lit(feed).alias("feed"), F.col("feed_date").cast("string").alias("day"))
+        for feed in feeds.DATE_FEEDS if feed in docs
+    ))
+
+
 def _exists(items: Column, test) -> Column:
     return F.coalesce(F.exists(items, test), F.lit(False))
 

@@ -59,7 +59,8 @@ def sync(
 ) -> list[dict[str, int]]:
     """Build the tables of every chunk of ``[start, end]``; rows written per chunk.
 
-    A failed chunk is logged and raises. The driver holds the list of chunks
+    A failed chunk, one with a day that did not land included, is logged and raises;
+    with ``resume`` the next sync takes it up again. The driver holds the list of chunks
     only; all games of a chunk are one set of jobs.
     """
     runlog.create_if_missing(spark, options.table("_ingest_runs"))
@@ -92,6 +93,11 @@ def _write_chunk(spark, landing, start, end, options) -> dict[str, int]:
         fatal = chunk_plan.fatal_documents(docs, options.tables).take(1)
         if fatal:
             raise ValueError("{feed} document {request_key}: {reason}".format(**fatal[0].asDict()))
+        # At most one row per feed and day of the chunk.
+        missing = chunk_plan.missing_days(docs, str(start), str(end)).orderBy("feed", "day").collect()
+        if missing:
+            named = ", ".join(f"{m.feed} {m.day}" for m in missing)
+            raise ValueError(f"documents of these days did not land: {named}")
         plan = chunk_plan.plan_chunk(
             docs, options.tables, options.include_preseason, keep=stage.keep)
         _log_skipped(plan, start, end, options)
@@ -110,7 +116,7 @@ def _log_skipped(plan, start, end, options) -> None:
     spark, table = plan.status.sparkSession, options.table("_ingest_skipped")
     skipped = plan.skipped.select(
         F.lit(start).alias("chunk_start"), F.lit(end).alias("chunk_end"), "game_id", "game_date",
-        "stage", F.substring("reason", 1, 200).alias("reason"))
+        "stage", "reason")
     if not spark.catalog.tableExists(table):
         spark.createDataFrame([], _SKIPPED).write.format("parquet").saveAsTable(table)
     sink.append(skipped, table)

@@ -24,13 +24,20 @@ def configure(spark: SparkSession) -> SparkSession:
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """Folder every executor can reach.
+    """Folder every executor can reach: the one that ``spark.checkpoint.dir`` names.
 
-    The cluster names it in ``spark.checkpoint.dir``. Without that setting the
-    warehouse folder is used, which is shared wherever tables are.
+    Without that setting the warehouse folder serves if it is on a shared file
+    system, or if the session runs on one machine; else this raises.
     """
     named = spark.conf.get("spark.checkpoint.dir", None)
-    return named or spark.conf.get("spark.sql.warehouse.dir")
+    if named:
+        return named
+    warehouse = spark.conf.get("spark.sql.warehouse.dir")
+    master = spark.sparkContext.master
+    shared = "://" in warehouse and not warehouse.startswith("file:")
+    if shared or master == "local" or master.startswith("local["):
+        return warehouse
+    raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:

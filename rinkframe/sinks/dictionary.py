@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from rinkframe.sinks import tables
-from rinkframe.specs import COMMENT_LIMIT, TableSpec
+from rinkframe.specs import TableSpec
 
 _RAW = """dataset string, `table` string, `column` string, dtype string, description string,
     business_definition string, tags array<string>, equivalent string, source_field string"""
@@ -53,5 +53,5 @@ def apply_dictionary(spark: SparkSession, table: str, spec: TableSpec, dataset:
 def apply_comments(spark: SparkSession, table: str, spec: TableSpec) -> None:
     """Set the comment of every column of a stored table from its spec."""
     for c in spec.columns:
-        text = c.describe()[:COMMENT_LIMIT].replace("\\", "\\\\").replace("'", "\\'")
+        text = c.describe().replace("\\", "\\\\").replace("'", "\\'")
         spark.sql(f"ALTER TABLE {table} ALTER COLUMN `{c.name}` COMMENT '{text}'")

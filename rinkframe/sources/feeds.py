@@ -9,13 +9,16 @@ is no JSON object). Documents come from a landing zone of files
     <root>/player/<request key>.json
 
 or from a table with one JSON text per row, which suits many small documents
-better. Only declared fields are read; absent ones are NULL.
+better. Only declared fields are read; absent ones are NULL. Numbers may stand as
+numbers or as text, whole ones also as ``12.0``.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
+from rinkframe.functions import coerce
+
 _TEAM = "STRUCT<id: BIGINT, abbrev: STRING, score: BIGINT>"
 _TEXT = "STRUCT<default: STRING>"
 _GAME = f"""
@@ -63,7 +66,7 @@ _DDL = {
             timeInPeriod: STRING, timeRemaining: STRING, situationCode: STRING,
             details: {_DETAILS}>>""",
     "shift_charts": """data ARRAY<STRUCT<gameId: STRING, playerId: STRING, teamId: STRING,
-        period: STRING, shiftNumber: STRING, startTime: STRING, endTime: STRING>>""",
+        period: STRING, shiftNumber: VARIANT, startTime: STRING, endTime: STRING>>""",
     "right_rail": f"gameInfo STRUCT<referees: {_OFFICIALS}, linesmen: {_OFFICIALS}>",
     "landing": f"{_GAME}, gameOutcome: STRUCT<lastPeriodType: STRING>",
     "player": """playerId BIGINT, firstName STRUCT<default: STRING>,
@@ -75,6 +78,8 @@ _DDL = {
             hits: BIGINT, blockedShots: BIGINT, shots: BIGINT>>""",
 }
 
+_WHOLE = (T.LongType(), T.IntegerType())
+
 FEEDS = tuple(_DDL)
 DATE_FEEDS = ("score", "standings")
 GAME_FEEDS = ("play_by_play", "shift_charts", "boxscore", "right_rail", "landing")
@@ -86,6 +91,33 @@ def feed_schema(feed: str) -> T.StructType:
     return T.StructType.fromDDL(_DDL[feed])
 
 
+def _as_text(kind: T.DataType) -> T.DataType:
+    """A declared type with its numbers read as text, in whatever form they stand."""
+    if isinstance(kind, T.StructType):
+        return T.StructType([T.StructField(f.name, _as_text(f.dataType)) for f in kind])
+    if isinstance(kind, T.ArrayType):
+        return T.ArrayType(_as_text(kind.elementType))
+    return T.StringType() if kind in _WHOLE or kind == T.DoubleType() else kind
+
+
+def _typed(value: Column, kind: T.DataType) -> Column:
+    """A value that was read by ``_as_text``, in its declared type."""
+    if _as_text(kind) == kind:
+        return value
+    if isinstance(kind, T.StructType):
+        fields = F.struct(*(_typed(value[f.name], f.dataType).alias(f.name) for f in kind))
+        return F.when(value.isNotNull(), fields)
+    if isinstance(kind, T.ArrayType):
+        return F.transform(value, lambda x: _typed(x, kind.elementType))
+    if kind in _WHOLE:
+        return coerce.whole_number(value, kind.simpleString())
+    return value.try_cast(kind)
+
+
+def _document(schema: T.StructType, prefix: str) -> Column:
+    return F.struct(*(_typed(F.col(f"{prefix}`{f.name}`"), f.dataType).alias(f.name) for f in schema))
+
+
 def _broken(fields: list[str], prefix: str) -> Column:
     """The reader kept the text, and not a single declared field could be read."""
     nothing = F.col(f"{prefix}`{_BROKEN}`").isNotNull()
@@ -123,7 +155,7 @@ def read_feed(
     """
     schema = feed_schema(feed)
     by_date = feed != "player"
-    declared = T.StructType(list(schema)).add(_BROKEN, T.StringType())
+    declared = T.StructType(list(_as_text(schema))).add(_BROKEN, T.StringType())
     if by_date:
         declared = declared.add("feed_date", T.DateType())
     base = f"{root.rstrip('/')}/{feed}"
@@ -144,7 +176,7 @@ def read_feed(
     return docs.select(
         key.alias("request_key"),
         (F.col("feed_date") if by_date else F.lit(None).cast("date")).alias("feed_date"),
-        F.struct(*(F.col(f"`{n}`") for n in schema.names)).alias("doc"),
+        _document(schema, "").alias("doc"),
         _broken(schema.names, "").alias("is_broken"),
     )
 
@@ -156,7 +188,7 @@ def parse_documents(texts: DataFrame, feed: str, text: str = "payload") -> DataF
     dropped.
     """
     schema = feed_schema(feed)
-    declared = T.StructType(list(schema)).add(_BROKEN, T.StringType())
+    declared = T.StructType(list(_as_text(schema))).add(_BROKEN, T.StringType())
     parsed = F.from_json(
         F.col(text), declared,
         {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": _BROKEN},
@@ -164,7 +196,7 @@ def parse_documents(texts: DataFrame, feed: str, text: str = "payload") -> DataF
     return texts.select("request_key", "feed_date", parsed.alias("doc")).select(
         "request_key",
         "feed_date",
-        F.struct(*(F.col(f"doc.`{n}`") for n in schema.names)).alias("doc"),
+        _document(schema, "doc.").alias("doc"),
         _broken(schema.names, "doc.").alias("is_broken"),
     )
 

@@ -23,7 +23,6 @@ SPARK_TYPES = {
     "NUMERIC": T.DecimalType(38, 9),
 }
 MODES = ("REQUIRED", "NULLABLE", "REPEATED")
-COMMENT_LIMIT = 1024
 
 
 @dataclass(frozen=True)
@@ -78,7 +77,7 @@ class ColumnSpec:
 
     def struct_field(self) -> T.StructField:
         meta = {
-            "comment": self.describe()[:COMMENT_LIMIT],
+            "comment": self.describe(),
             "mode": self.mode,
             "tags": list(self.tags),
             "source_field": self.source_field,
@@ -352,7 +351,7 @@ BOXSCORE = TableSpec(
         _c("save_pctg", "FLOAT64", "Share of shots stopped.", src="savePctg",
            tags=["statistic"], domain=(0, 1)),
         _count("goals_against", "Goals let in.", "goalsAgainst"),
-        _count("even_strength_shots_against", "Shots faced at even strength.",
+        _count("even_strength_shots_against", "Even-strength shots against the goalie.",
                "evenStrengthShotsAgainst", notes=("Text such as 25/26 becomes NULL.",)),
         _count("power_play_shots_against", "Shots faced with fewer players.",
                "powerPlayShotsAgainst", notes=("Text such as 25/26 becomes NULL.",)),

@@ -1,6 +1,7 @@
 """Small feed documents written by the tests."""
 
 import json
+from datetime import date, timedelta
 
 
 def play(event_id, key="hit", period=1, time="5:00", kind="REG", situation="1551", **details):
@@ -56,6 +57,15 @@ class Landing:
         text = document if isinstance(document, str) else json.dumps(document)
         (folder / f"{key}.json").write_text(text)
 
+    def fill(self, start, end):
+        """Empty score and standings documents for the days of a range that have none."""
+        day, last = date.fromisoformat(start), date.fromisoformat(end)
+        while day <= last:
+            for feed in ("score", "standings"):
+                if not (self.root / feed / f"feed_date={day}").exists():
+                    self.put(feed, day, {"games": [], "standings": []}, str(day))
+            day += timedelta(days=1)
+
     def put_game(self, game_id, date="2024-10-08", **replaced):
         """All documents of one sound game, some of them replaced."""
         documents = {

@@ -24,7 +24,7 @@ def two_games(tmp_path, **second):
 
 
 def test_all_tables_of_a_chunk(spark, database, tmp_path):
-    two_games(tmp_path)
+    two_games(tmp_path).fill("2024-10-01", "2024-10-31")
     options = SyncOptions(database)
     assert sync.sync(spark, str(tmp_path), "2024-10-01", "2024-10-31", options) == [
         {"games": 3, "officials": 6, "boxscore": 4, "shifts": 4, "plays": 6, "standings": 1}]
@@ -44,13 +44,50 @@ def test_all_tables_of_a_chunk(spark, database, tmp_path):
 
 
 def test_resume_skips_finished_chunks(spark, database, tmp_path):
-    two_games(tmp_path)
+    zone = two_games(tmp_path)
+    zone.fill("2024-10-01", "2024-11-15")
     options = SyncOptions(database, resume=True)
     assert len(sync.sync(spark, str(tmp_path), "2024-10-01", "2024-11-15", options)) == 2
     assert sync.sync(spark, str(tmp_path), "2024-10-01", "2024-11-15", options) == []
     assert [r[0] for r in rows(spark, f"{database}._ingest_runs", "status")] == ["empty", "success"]
 
 
+def test_a_day_that_did_not_land_fails_its_chunk_until_it_does(spark, database, tmp_path):
+    zone = two_games(tmp_path)
+    zone.fill("2024-10-07", "2024-10-09")
+    options = SyncOptions(database, resume=True, chunk_by="range")
+    with pytest.raises(ValueError, match="score 2024-10-10, standings 2024-10-10"):
+        sync.sync(spark, str(tmp_path), "2024-10-07", "2024-10-10", options)
+    assert rows(spark, f"{database}._ingest_runs", "status") == [("failed",)]
+    zone.fill("2024-10-10", "2024-10-10")
+    assert len(sync.sync(spark, str(tmp_path), "2024-10-07", "2024-10-10", options)) == 1
+    assert sync.sync(spark, str(tmp_path), "2024-10-07", "2024-10-10", options) == []
+
+
+def test_payload_id_unlike_the_requested_one(spark, database, tmp_path):
+    odd = play_by_play(777, [play(1, time="0:30", hittingPlayerId=11), play(2, time="0:40")])
+    zone = two_games(tmp_path, play_by_play=odd)
+    sync.sync(spark, str(tmp_path), "2024-10-08", "2024-10-08", SyncOptions(database))
+    got = rows(spark, f"{database}.nhl_plays", "game_id", "event_id", "home_on_ice_ids", "source_quality")
+    assert [r for r in got if r[0] == 777] == [(777, 1, [11], "FULL"), (777, 2, [11], "FULL")]
+    assert zone
+
+
+def test_numbers_in_any_form(spark, database, tmp_path):
+    odd = play_by_play(2, [play(1, "penalty", time="0:30", duration=2.0, xCoord="12", playerId="11")])
+    charts = {"data": [shift(2, 11.0, "1", "0:00", "1:00"), shift(2, 12, 1, "0:00", "1:00", number=None),
+                       shift("2", "21", 2.0, "0:00", "1:30", number="3")]}
+    box = boxscore(2, [{"playerId": 11, "goals": "3", "pim": 2.0}])
+    two_games(tmp_path, play_by_play=odd, shift_charts=charts, boxscore=box)
+    sync.sync(spark, str(tmp_path), "2024-10-08", "2024-10-08", SyncOptions(database))
+    plays = spark.table(f"{database}.nhl_plays").where("game_id = 2").collect()
+    assert [(p.penalty_minutes, p.x_coord, p.home_on_ice_ids, p.away_on_ice_ids) for p in plays] == [(2, 12.0, [11], [21])]
+    stored = rows(spark, f"{database}.shifts", "game_id", "player_id", "shift_number")
+    assert [r for r in stored if r[0] == 2] == [(2, 11, 1), (2, 12, 0), (2, 21, 3)]
+    stats = spark.table(f"{database}.boxscore_stats").where("game_id = 2").select("goals", "pim").collect()
+    assert [tuple(s) for s in stats] == [(3, 2)]
+
+
 # Game id, documents that differ from a sound game, failing stage, tables kept.
 BROKEN = [
     (2, {"landing": None}, "fetch", ()),
@@ -122,6 +159,7 @@ def test_players_from_plays_and_by_id(spark, database, tmp_path):
 
 def test_verification_of_stored_tables(spark, database, tmp_path):
     zone = two_games(tmp_path)
+    zone.put("score", "2025-04-30", {"games": []}, "2025-04-30")
     zone.put("standings", "2025-04-30", {"standings": [
         {"teamAbbrev": {"default": "T1"}, "wins": 2, "losses": 0, "otLosses": 0, "points": 4,
          "goalFor": 2, "goalAgainst": 0},
@@ -130,8 +168,9 @@ def test_verification_of_stored_tables(spark, database, tmp_path):
     ]}, "2025-04-30")
     total = {"season": 20242025, "leagueAbbrev": "NHL", "gameTypeId": 2, "goals": 3}
     zone.put("player", 11, {"playerId": 11, "seasonTotals": [total | {"gameTypeId": 3}, total]})
-    options = SyncOptions(database, chunk_by="year")
-    sync.sync(spark, str(tmp_path), "2024-10-01", "2025-06-01", options)
+    options = SyncOptions(database, chunk_by="range")
+    for day in ("2024-10-08", "2025-04-30"):
+        sync.sync(spark, str(tmp_path), day, day, options)
     t = {k: options.table(k) for k in ("plays", "games", "shifts", "standings")}
 
     internal = verify.verify_internal(
@@ -164,6 +203,7 @@ def test_new_score_files_drive_a_sync(spark, database, tmp_path):
     incremental.sync_new(*args)
     assert spark.table(f"{database}.nhl_plays").count() == 6
     zone.put("score", "2024-10-09", {"games": [game(3, "2024-10-09")]}, "2024-10-09")
+    zone.put("standings", "2024-10-09", {"standings": []}, "2024-10-09")
     zone.put_game(3, "2024-10-09")
     incremental.sync_new(*args)
     assert spark.table(f"{database}.nhl_plays").count() == 9
