@@ -36,7 +36,7 @@ def test_half_open_ends_teams_and_quality(spark):
     shifts = [(1, 1, 11, 0, 60), (1, 1, 11, 30, 90), (1, 2, 21, 60, 90), (1, 3, 31, 0, 90),
               (2, 1, 11, 50, 40)]
     events = [(1, 1, 30, 1, 2), (2, 1, 60, 1, 2), (3, 1, 90, 1, 2), (4, 1, None, 1, 2),
-              (5, 2, 45, 1, 2), (6, 3, 10, 1, 2)]
+              (5, 2, 45, 1, 2), (6, 3, 10, 1, 2), (None, 1, 30, 1, 2)]
     got = on_ice(spark, events, shifts)
     assert got == expected_on_ice(events, shifts)
     assert got[1] == ([11, 11], [], "FULL") and got[2] == ([11], [21], "FULL")

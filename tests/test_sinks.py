@@ -5,6 +5,7 @@ from pyspark.errors import PySparkValueError
 from pyspark.sql import functions as F
 
 from rinkframe.operators import replace
+from rinkframe.session import shared_folder
 from rinkframe.sinks import dictionary, runlog, tables as sink
 from rinkframe.specs import OFFICIALS, PLAYERS
 from rinkframe.sources import tables as stored
@@ -97,3 +98,21 @@ def test_run_log(spark, database):
     assert [tuple(r) for r in got] == [chunk]
     row = spark.table(table).where("status = 'success'").first()
     assert (row.rows_written_plays, row.rows_written_shifts, row.table_kind) == (3, None, "lockstep")
+
+
+class _Session:
+    """Only the settings that the choice of a shared folder looks at."""
+
+    def __init__(self, master, **settings):
+        self.sparkContext = type("Context", (), {"master": master})()
+        self.conf = type("Conf", (), {"get": staticmethod(lambda key, *default: settings.get(key, *default))})()
+
+
+def test_intermediate_data_needs_a_shared_folder():
+    folder, warehouse = "spark.checkpoint.dir", "spark.sql.warehouse.dir"
+    assert shared_folder(_Session("yarn", **{folder: "s3a://x/tmp"})) == "s3a://x/tmp"
+    assert shared_folder(_Session("yarn", **{warehouse: "hdfs://n/warehouse"})) == "hdfs://n/warehouse"
+    assert shared_folder(_Session("local[4]", **{warehouse: "file:/w"})) == "file:/w"
+    for path in ("file:/w", "/w"):
+        with pytest.raises(ValueError):
+            shared_folder(_Session("yarn", **{warehouse: path}))
