@@ -27,7 +27,7 @@ MAX_BROADCAST = 500_000
 # Bit of the lowest diagonal in the bit vectors of the edit distance.
 TOP = 40
 # Letters whose counts are compared before texts are fetched.
-LETTERS = "etaoinsrhlducm,. "
+LETTERS = "etaoinsrhlducmfgpwybvkqz,. éèêñüöäßçíó#*"
 
 
 def _let(value: Column, use) -> Column:
