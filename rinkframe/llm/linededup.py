@@ -7,9 +7,12 @@ indexed by its own segments and probes the substrings that could be another's.
 Candidates must have similar letter counts, and are verified by banded bit-parallel
 edit distance.
 
+Lines of fewer than ``LEAST_CHARS`` characters take part if ``least_chars`` says so,
+with a smaller budget: one edit from ``LEAST_CHARS / EDITS`` characters on, none below.
+
 Defined cases: a null text has no lines and comes back empty; lines of fewer than
-``LEAST_CHARS`` characters are always kept; repeated rows keep the same lines; a null
-doc_id comes first; an empty table gives an empty result. Of the input columns only
+``least_chars`` characters, and blank ones below ``LEAST_CHARS``, are always kept;
+repeated rows keep the same lines; a null doc_id comes first; an empty table gives an empty result. Of the input columns only
 the text is changed; ``lines`` is added and replaces a column of that name.
 """
 
@@ -66,6 +69,25 @@ def segment_keys(line: Column, edits: int = EDITS) -> Column:
     return F.array(*keys)
 
 
+def _budget(n: Column, edits: int) -> Column:
+    """Edits allowed where the shorter of two lines has ``n`` characters."""
+    return F.when(n >= LEAST_CHARS, edits).otherwise(F.floor(n * edits / LEAST_CHARS)).cast("int")
+
+
+def budgeted_keys(line: Column, edits: int, least: int) -> Column:
+    """Keys of a line under the budget of its length. A line just longer than where a
+    budget ends probes the shorter ones below with theirs."""
+    n, keys = F.length(line), segment_keys(line, edits)
+    if least >= LEAST_CHARS:
+        return keys
+    keys = F.when(n >= LEAST_CHARS, keys).otherwise(F.slice(keys, 1, 0))
+    for e in range(1, edits):
+        low, high = -(-LEAST_CHARS * e // edits), -(-LEAST_CHARS * (e + 1) // edits)
+        few = segment_keys(line, e)
+        keys = F.concat(keys, F.when((n >= low) & (n < high + e), few).otherwise(F.slice(few, 1, 0)))
+    return keys
+
+
 def letter_counts(line: Column) -> Column:
     """Counts of common letters, in their order. One edit changes two of them by one."""
     n = F.length(line)
@@ -132,19 +154,24 @@ def _small(df: DataFrame):
     return F.broadcast(df) if df.count() <= MAX_BROADCAST else df
 
 
-def _all_lines(df: DataFrame, doc_id: str, text: str) -> DataFrame:
-    """``doc, version, at, line`` and the line's two hashes, for lines long enough."""
+def _takes_part(line: Column, least: int) -> Column:
+    long = F.length(line) >= least
+    return long if least >= LEAST_CHARS else long & ((F.length(line) >= LEAST_CHARS) | line.rlike(r"\S"))
+
+
+def _all_lines(df: DataFrame, doc_id: str, text: str, least: int) -> DataFrame:
+    """``doc, version, at, line`` and the line's two hashes, for lines that take part."""
     parts = df.select(F.col(doc_id).alias("doc"), F.xxhash64(text).alias("version"),
                       F.split(F.col(text), "\n").alias("parts"))
     return (parts.select("doc", "version", F.posexplode("parts").alias("at", "line"))
-            .filter(F.length("line") >= LEAST_CHARS)
+            .filter(_takes_part(F.col("line"), least))
             .withColumns({"h1": F.xxhash64("line"), "h2": F.xxhash64(F.lit(1), "line")}))
 
 
-def near_lines(lines: DataFrame, edits: int = EDITS) -> tuple[DataFrame, DataFrame]:
+def near_lines(lines: DataFrame, edits: int = EDITS, least: int = LEAST_CHARS) -> tuple[DataFrame, DataFrame]:
     """First places of distinct lines, and the lines that are near an earlier one."""
     keyed = lines.select("h1", "h2", F.struct("doc", "version", "at").alias("place"),
-                         segment_keys(F.col("line"), edits).alias("keys"))
+                         budgeted_keys(F.col("line"), edits, least).alias("keys"))
     distinct = keep(keyed.groupBy("h1", "h2").agg(
         F.min("place").alias("first"), F.any_value("keys").alias("keys")), "lines")
     rows = distinct.select("h1", "h2", "first", F.inline("keys"))
@@ -169,19 +196,21 @@ def near_lines(lines: DataFrame, edits: int = EDITS) -> tuple[DataFrame, DataFra
         return texts.select(F.col("h1").alias(f"{k}_h1"), F.col("h2").alias(f"{k}_h2"), F.col("line").alias(k))
     read = pairs.join(side("a"), ["a_h1", "a_h2"]).join(side("b"), ["b_h1", "b_h2"])
     distance = edit_distance(_characters(F.col("a")), _characters(F.col("b")), F.length("a"), edits)
-    near = (read.filter(distance <= edits)
+    allowed = _budget(F.least(F.length("a"), F.length("b")), edits)
+    near = (read.filter(distance <= allowed)
             .select(F.when(F.col("a_is_first"), F.col("b_h1")).otherwise(F.col("a_h1")).alias("h1"),
                     F.when(F.col("a_is_first"), F.col("b_h2")).otherwise(F.col("a_h2")).alias("h2"))
             .distinct().withColumn("near", F.lit(True)))
     return distinct.select("h1", "h2", "first"), near
 
 
-def dedup_lines(df: DataFrame, doc_id: str = "doc_id", text: str = "text", edits: int = EDITS) -> DataFrame:
+def dedup_lines(df: DataFrame, doc_id: str = "doc_id", text: str = "text", edits: int = EDITS,
+                least_chars: int = LEAST_CHARS) -> DataFrame:
     """The input with repeated lines taken out of the text, and the struct ``lines``:
     ``total``, ``removed`` and ``long_left`` (lines long enough that stay)."""
     doc, version, gone_at = (free_name(df, c) for c in ("doc", "version", "gone"))
-    lines = _all_lines(df, doc_id, text)
-    first, near = near_lines(lines, edits)
+    lines = _all_lines(df, doc_id, text, least_chars)
+    first, near = near_lines(lines, edits, least_chars)
     fate = first.join(near, ["h1", "h2"], "left")
     gone = (lines.select("doc", "version", "at", "h1", "h2").join(fate, ["h1", "h2"])
             .withColumn("repeated", ~F.col("first").eqNullSafe(F.struct("doc", "version", "at")))
@@ -202,10 +231,12 @@ def dedup_lines(df: DataFrame, doc_id: str = "doc_id", text: str = "text", edits
     return out.withColumn(text, F.coalesce(F.array_join(kept, "\n"), F.lit(""))).drop(gone_at, doc, version)
 
 
-def keep_distinct_lines(df: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+def keep_distinct_lines(df: DataFrame, doc_id: str = "doc_id", text: str = "text",
+                        least_chars: int = LEAST_CHARS) -> DataFrame:
     """The input with repeated lines taken out; a document that loses lines and keeps
     none of ``LEAST_CHARS`` characters goes."""
     row = F.struct(*[F.col(f"`{c}`") for c in df.columns])
-    out = dedup_lines(df.select(row.alias("row"), F.col(doc_id).alias("doc_id"), F.col(text).alias("text")))
+    out = dedup_lines(df.select(row.alias("row"), F.col(doc_id).alias("doc_id"), F.col(text).alias("text")),
+                      least_chars=least_chars)
     kept = out.filter((F.col("lines.removed") == 0) | (F.col("lines.long_left") > 0))
     return kept.select(F.col("row").withField(text, F.col("text")).alias("row")).select("row.*")

@@ -93,3 +93,33 @@ def test_bit_parallel_distance(text_spark):
         d = distance(r["a"], r["b"])
         assert r["d"] == d if d <= 2 else r["d"] > 2
     assert hashlib.sha256(b"").hexdigest()
+
+
+def whole_by_hand(rows):
+    """Every line that is not blank takes part; one edit for 15 characters of the shorter line."""
+    first, out = [], {}
+    for i, t in sorted(rows):
+        kept = []
+        for line in (t or "").split("\n"):
+            gone = line.strip() and any(
+                x == line or abs(len(x) - len(line)) <= 2
+                and distance(x, line) <= min(2, min(len(x), len(line)) // 15) for x in first)
+            if not gone:
+                kept.append(line)
+            if line.strip() and line not in first:
+                first.append(line)
+        out[i] = "\n".join(kept)
+    return out
+
+
+def test_short_lines_take_part(documents):
+    rng = random.Random(17)
+    lines = ["".join(rng.choice("abcdefgh é.,") for _ in range(n)) for n in (3, 9, 14, 15, 16, 28, 29, 30, 31, 32, 45)]
+    rows = [(k, "\n".join(edited(rng, rng.choice(lines), rng.choice((0, 1, 2))) for _ in range(rng.randint(0, 6)))
+             + "\n" + rng.choice(("a", "if", "b")))
+            for k in range(60)]
+    rows += [(70, "All rights reserved.\n\n \nfirst"), (71, "second\nAll rights reserved.\n\n ")]
+    out = linededup.dedup_lines(documents(rows), least_chars=1).collect()
+    got = {r["doc_id"]: r["text"] for r in out}
+    assert got == whole_by_hand(rows)
+    assert got[71] == "second\n\n "
