@@ -22,7 +22,7 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Lines that stand earlier, or nearly, go; so do documents left without a long line."""
+    """Lines that stand earlier, or nearly, go; so do documents left without a line."""
     prepare(spark)
     return linededup.keep_distinct_lines(docs, least_chars=1).withColumn(
         "n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))

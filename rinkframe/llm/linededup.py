@@ -207,7 +207,7 @@ def near_lines(lines: DataFrame, edits: int = EDITS, least: int = LEAST_CHARS) -
 def dedup_lines(df: DataFrame, doc_id: str = "doc_id", text: str = "text", edits: int = EDITS,
                 least_chars: int = LEAST_CHARS) -> DataFrame:
     """The input with repeated lines taken out of the text, and the struct ``lines``:
-    ``total``, ``removed`` and ``long_left`` (lines long enough that stay)."""
+    ``total``, ``removed`` and ``long_left`` (lines that take part and stay)."""
     doc, version, gone_at = (free_name(df, c) for c in ("doc", "version", "gone"))
     lines = _all_lines(df, doc_id, text, least_chars)
     first, near = near_lines(lines, edits, least_chars)
@@ -226,7 +226,7 @@ def dedup_lines(df: DataFrame, doc_id: str = "doc_id", text: str = "text", edits
     out = marked.withColumn("lines", F.struct(
         F.coalesce(F.size(split), F.lit(0)).cast("bigint").alias("total"),
         F.coalesce(F.size(gone_at), F.lit(0)).cast("bigint").alias("removed"),
-        F.coalesce(F.size(F.filter(kept, lambda l: F.length(l) >= LEAST_CHARS)), F.lit(0))
+        F.coalesce(F.size(F.filter(kept, lambda l: _takes_part(l, least_chars))), F.lit(0))
         .cast("bigint").alias("long_left")))
     return out.withColumn(text, F.coalesce(F.array_join(kept, "\n"), F.lit(""))).drop(gone_at, doc, version)
 
@@ -234,7 +234,7 @@ def dedup_lines(df: DataFrame, doc_id: str = "doc_id", text: str = "text", edits
 def keep_distinct_lines(df: DataFrame, doc_id: str = "doc_id", text: str = "text",
                         least_chars: int = LEAST_CHARS) -> DataFrame:
     """The input with repeated lines taken out; a document that loses lines and keeps
-    none of ``LEAST_CHARS`` characters goes."""
+    none that takes part goes."""
     row = F.struct(*[F.col(f"`{c}`") for c in df.columns])
     out = dedup_lines(df.select(row.alias("row"), F.col(doc_id).alias("doc_id"), F.col(text).alias("text")),
                       least_chars=least_chars)

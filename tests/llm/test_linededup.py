@@ -123,3 +123,11 @@ def test_short_lines_take_part(documents):
     got = {r["doc_id"]: r["text"] for r in out}
     assert got == whole_by_hand(rows)
     assert got[71] == "second\n\n "
+
+
+def test_documents_of_short_lines_stay(documents):
+    notice = "This notice stands under every one of these poems."
+    rows = [(1, notice), (2, "roses are red\nviolets are blue\n" + notice), (3, notice + "\n\n"),
+            (4, notice + "\nroses are red")]
+    kept = linededup.keep_distinct_lines(documents(rows), least_chars=1).collect()
+    assert {r["doc_id"]: r["text"] for r in kept} == {1: notice, 2: "roses are red\nviolets are blue"}
