@@ -125,13 +125,14 @@ class Index:
             np.cumsum(times) - times, times)
         return np.repeat(place, times), self.item[entry], self.at[entry]
 
-    def leaks(self, pieces: list[tuple[int, bytes]]) -> dict[tuple[int, int], list]:
-        """Verified regions per (row, item) in a chunk of texts."""
-        body = b"\1".join(p for _, p in pieces)
+    def leaks(self, pieces: list[tuple[int, int, bytes]]) -> dict[tuple[int, int], list]:
+        """Verified windows per (row, item) in a chunk of texts: start in the item,
+        diagonal, slice of the text and its place."""
+        body = b"\1".join(p for *_, p in pieces)
         found: dict[tuple[int, int], list] = {}
         if len(body) < Q or not len(self.grams):
             return found
-        starts = np.cumsum([0] + [len(p) + 1 for _, p in pieces])
+        starts = np.cumsum([0] + [len(p) + 1 for *_, p in pieces])
         place, item, at = self.hits(np.frombuffer(body, np.uint8))
         # Most hits are chance: an item needs as many in a text as its bound.
         piece = np.searchsorted(starts, place, side="right") - 1
@@ -153,30 +154,80 @@ class Index:
         piece, item, at, diagonal, band = piece[fresh], item[fresh], at[fresh], diagonal[fresh], band[fresh]
         group = np.cumsum(np.concatenate(([0], (piece[1:] != piece[:-1]) | (item[1:] != item[:-1])
                                           | (band[1:] != band[:-1])))) if len(at) else np.empty(0, np.int64)
-        far = group * (1 << 32) + at
-        last = np.searchsorted(far, far + self.region[item] - Q, side="right")
-        passing = np.flatnonzero(last - np.arange(len(at)) >= self.bound[item]) if len(at) else []
-        done: dict[tuple[int, int], int] = {}
-        for k in passing:
-            key = (pieces[piece[k]][0], int(item[k]))
-            region, edits = int(self.region[item[k]]), int(self.edits[item[k]])
-            text = self.items[item[k]][1]
-            # The region covers these q-grams; edits at its ends leave its start open.
-            high = min(int(at[k]), len(text) - region)
-            low_start = min(max(0, int(at[last[k] - 1]) + Q - region), high)
-            if done.get(key, -1) >= high:  # inside a region already verified
-                continue
-            mid = int(np.median(diagonal[k:last[k]]))
-            begin, end = int(starts[piece[k]]), int(starts[piece[k] + 1]) - 1
-            for a in range(high, low_start - 1, -1):
-                lo, hi = max(begin, a + mid - 2 * edits - 1), min(end, a + mid + region + 2 * edits + 1)
-                cost = aligned_edits(text[a:a + region], body[lo:hi], edits)
-                if cost <= edits:
-                    found.setdefault(key, []).append((a, a + region, cost))
-                    done[key] = a + region - 1
-                    break
+        begins = np.flatnonzero(np.diff(group, prepend=-1))
+        ends = np.append(begins[1:], len(at))
+        for g in np.flatnonzero(ends - begins >= self.bound[item[begins]]):
+            first, last = begins[g], ends[g]
+            k = int(item[first])
+            row, offset, _ = pieces[piece[first]]
+            begin, end = int(starts[piece[first]]), int(starts[piece[first] + 1]) - 1
+            windows = self._windows(k, int(band[first]), at[first:last], diagonal[first:last], body, begin, end)
+            if windows:
+                found.setdefault((row, k), []).extend(
+                    (a, d - begin + offset, body[lo:hi], lo - begin + offset) for a, d, lo, hi in windows)
         return found
 
+    def _windows(self, k: int, band: int, at: np.ndarray, diagonal: np.ndarray, body: bytes,
+                 begin: int, end: int) -> list[tuple[int, int, int, int]]:
+        """Verified windows (start in the item, diagonal, slice of the body) of one band,
+        as many as have the union of all."""
+        text, region, edits = self.items[k][1], int(self.region[k]), int(self.edits[k])
+        starts = np.arange(len(text) - region + 1)
+        left, right = np.searchsorted(at, starts), np.searchsorted(at, starts + region - Q, side="right")
+        near = right - left >= self.bound[k]
+        step, out = edits + 1, []
+
+        def verified(a: int) -> bool:
+            if not near[a]:
+                return False
+            lo = max(begin, a + band * step - edits)
+            hi = min(end, a + region + (band + 2) * step - 1 + edits)
+            if aligned_edits(text[a:a + region], body[lo:hi], edits) > edits:
+                return False
+            out.append((a, int(np.median(diagonal[left[a]:right[a]])), lo, hi))
+            return True
+
+        a, most = 0, len(text) - region
+        while a <= most:
+            if not verified(a):
+                a += 1
+                continue
+            # On to the furthest window that joins what is covered.
+            while (after := next((b for b in range(min(a + region, most), a, -1) if verified(b)), None)) is not None:
+                a = after
+            a += region + 1
+        return out
+
+
+def _spans(windows: list, region: int, slack: int) -> list[list]:
+    """Windows of one text joined to stretches: those that touch in the item and lie on
+    diagonals at most ``slack`` apart."""
+    spans, open_ = [], []
+    for w in sorted(windows, key=lambda w: (w[0] + w[1], w[0])):
+        a, d = w[:2]
+        open_ = [s for s in open_ if s[-1][0] + s[-1][1] + region + slack >= a + d]
+        mine = [s for s in open_ if any(abs(x[1] - d) <= slack and abs(x[0] - a) <= region
+                                        for x in reversed(s[-8:]))]
+        if not mine:
+            mine = [[]]
+            spans.append(mine[0])
+            open_.append(mine[0])
+        for other in mine[1:]:
+            mine[0].extend(other)
+            spans = [s for s in spans if s is not other]
+            open_ = [s for s in open_ if s is not other]
+        mine[0].append(w)
+    return spans
+
+
+def _joined(parts: list[tuple[int, bytes]]) -> bytes:
+    """The text of overlapping slices (place, bytes)."""
+    parts = sorted(parts)
+    out, at = parts[0][1], parts[0][0]
+    for place, piece in parts[1:]:
+        out += piece[max(0, at + len(out) - place):]
+    return out
+
 
 def _chunks(texts: list[bytes]):
     chunk, size = [], 0
@@ -186,25 +237,39 @@ def _chunks(texts: list[bytes]):
             if chunk and size + len(piece) > CHUNK:
                 yield chunk
                 chunk, size = [], 0
-            chunk.append((row, piece))
+            chunk.append((row, at, piece))
             size += len(piece) + 1
     if chunk:
         yield chunk
 
 
 def search(texts: list[bytes], index: Index) -> list[tuple[int, int, int, int, int]]:
-    """(row, item_id, regions, characters of the item covered, least edits)."""
+    """(row, item_id, regions, characters of the item covered, least edits).
+
+    A region is a whole stretch of the text in which windows of the item were found; its
+    edits are those of all of the item that it covers.
+    """
     found: dict[tuple[int, int], list] = {}
     for chunk in _chunks([normalised(t) for t in texts]):
-        for key, regions in index.leaks(chunk).items():
-            found.setdefault(key, []).extend(regions)
+        for key, windows in index.leaks(chunk).items():
+            found.setdefault(key, []).extend(windows)
     out = []
-    for (row, item), regions in sorted(found.items()):
+    for (row, k), windows in sorted(found.items()):
+        (item, text), region = index.items[k], int(index.region[k])
+        spans = _spans(windows, region, 2 * int(index.edits[k]) + 1)
+        ends = [(min(w[0] for w in s), max(w[0] for w in s) + region) for s in spans]
         covered, end = 0, 0
-        for a, b, _ in sorted(regions):
+        for a, b in sorted(ends):
             covered += max(0, b - max(a, end))
             end = max(end, b)
-        out.append((row, index.items[item][0], len(set(regions)), covered, min(r[2] for r in regions)))
+        edits = None
+        for (a, b), s in zip(ends, spans):
+            most = b - a if edits is None else edits
+            cost = aligned_edits(text[a:b], _joined([(w[3], w[2]) for w in s]), most)
+            edits = cost if edits is None else min(edits, cost)
+            if not edits:
+                break
+        out.append((row, item, len(spans), covered, edits))
     return out
 
 

@@ -65,3 +65,60 @@ def test_alignment_equals_brute_force():
                 row.append(min(row[-1] + 1, rows[-1][j] + 1, rows[-1][j - 1] + (c != d)))
             rows.append(row)
         assert decontam.aligned_edits(w, t, 5) == min(min(rows[-1]), 6)
+
+
+def ends_within(window, text, edits):
+    """Ends in the text, and edits, of the stretches that ``window`` can be turned into."""
+    row = [0] * (len(text) + 1)
+    for i, c in enumerate(window, 1):
+        new = [i]
+        for j, d in enumerate(text, 1):
+            new.append(min(new[-1] + 1, row[j] + 1, row[j - 1] + (c != d)))
+        row = new
+    return [(j, e) for j, e in enumerate(row) if e <= edits]
+
+
+def leak_by_hand(item, text):
+    """regions, chars and edits from every window of the item at every place."""
+    region = min(len(item), decontam.REGION)
+    edits = region // decontam.CHARS_PER_EDIT
+    places = [(a, j - region - a) for a in range(len(item) - region + 1)
+              for j, _ in ends_within(item[a:a + region], text, edits)]
+    groups = []
+    for p in places:
+        mine = [g for g in groups if any(abs(x[0] - p[0]) <= region and abs(x[1] - p[1]) <= 2 * edits + 1 for x in g)]
+        groups = [g for g in groups if g not in mine] + [[p] + [x for g in mine for x in g]]
+    if not groups:
+        return None
+    spans = [(min(a for a, _ in g), max(a for a, _ in g) + region) for g in groups]
+    chars = len({c for a, b in spans for c in range(a, b)})
+    least = min(e for a, b in spans for _, e in ends_within(item[a:b], text, b - a))
+    return len(groups), chars, least
+
+
+def test_all_columns_equal_brute_force(text_spark, documents):
+    rng = random.Random(18)
+    long, short = (decontam.normalised(sentence(rng, 60).encode())[:n].strip().decode() for n in (227, 110))
+    before, after = sentence(rng, 8), sentence(rng, 6)
+    texts = [f"{before} {long} {after}", f"{before} {long[:120]} {after} {long[120:]}", f"{long} {after} {long}",
+             f"{before} {short} {after}", f"{before} {long[:60]}q{long[60:150]}z{long[151:]} {after}",
+             f"{long[100:]} {before} {long[:110]}", f"{before} {after}", f"{long[:95]} {short[5:]}"]
+    bench = text_spark.createDataFrame([(1, long), (2, short)], "item_id bigint, text string")
+    want = set()
+    for i, t in enumerate(texts):
+        for item_id, item in ((1, long), (2, short)):
+            if (hand := leak_by_hand(item.encode(), decontam.normalised(t.encode()))) is not None:
+                want.add((i, item_id, *hand))
+    assert (0, 1, 1, len(long), 0) in want and (2, 1, 2, len(long), 0) in want
+    got = {tuple(r) for r in decontam.leaks(documents(list(enumerate(texts))), bench)
+           .select("doc_id", "item_id", "regions", "chars", "edits").collect()}
+    assert got == want
+
+
+def test_regions_over_the_edge_of_a_chunk():
+    rng = random.Random(19)
+    item = decontam.normalised(sentence(rng, 70).encode())[:300].strip()
+    index = decontam.Index([(7, item)])
+    for at in (decontam.CHUNK - 600, decontam.CHUNK - 400, decontam.CHUNK - 100):
+        text = decontam.normalised(sentence(rng, 60000).encode())[:at].strip() + b" " + item + b" tail " + sentence(rng, 200).encode()
+        assert decontam.search([text], index) == [(0, 7, 1, len(item), 0)]
