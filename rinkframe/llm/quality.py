@@ -108,6 +108,11 @@ def votes(s) -> list:
 
 
 RULES = 7
+# Rules that never vote good.
+ONE_SIDED = (1, 3, 4, 6)
+# Prior of a rule's accuracy on good texts, and its weight in corpora.
+MOST = 0.999
+PRIOR = 1.75
 
 
 def _pattern(s):
@@ -122,10 +127,12 @@ def fit(patterns: dict[int, int], rules: int = RULES, steps: int = 60) -> dict[i
     """Posterior probability of "good" for each vote pattern.
 
     A two-class Dawid-Skene model: a rule that votes is right on good texts with one
-    probability and on bad texts with another. A rule
-    is right on at least 99 % of good texts and 55 % of bad ones, so it is never taken
-    for its opposite, and the share of good texts within 0.1
-    and 0.9, so that a corpus of one kind still has a defined answer.
+    probability and on bad texts with another. Both are estimated, from 0.55 on, so a
+    rule is never taken for its opposite, and the share of good texts within 0.1
+    and 0.9, so that a corpus of one kind still has a defined answer. A rule that only
+    looks for a defect is right on a good text when it abstains. The prior says that a
+    rule is right on 99.9 % of good texts, with the weight of ``PRIOR`` corpora: a rule
+    has to be at odds with the others on a large share of a corpus to lose trust.
     """
     if not patterns:
         return {}
@@ -133,13 +140,15 @@ def fit(patterns: dict[int, int], rules: int = RULES, steps: int = 60) -> dict[i
     weight = np.array([patterns[c] for c in codes], float)
     v = (codes[:, None] // 3 ** np.arange(rules - 1, -1, -1)) % 3 - 1
     up, down = (v == 1).astype(float), (v == -1).astype(float)
-    on_good, on_bad, share = np.full(rules, 0.99), np.full(rules, 0.75), 0.7
+    right = np.where(np.isin(np.arange(rules), ONE_SIDED) & (v == 0), 1.0, up)
+    prior = 2 + PRIOR * weight.sum()
+    on_good, on_bad, share = np.full(rules, MOST), np.full(rules, 0.75), 0.7
     for _ in range(steps):
         good = np.log(share) + up @ np.log(on_good) + down @ np.log(1 - on_good)
         bad = np.log(1 - share) + up @ np.log(1 - on_bad) + down @ np.log(on_bad)
         p = 1 / (1 + np.exp(np.clip(bad - good, -700, 700)))
         a, b = weight * p, weight * (1 - p)
-        on_good = np.clip((a @ up + 1) / (a @ (up + down) + 2), 0.99, 0.999)
+        on_good = np.clip((a @ right + MOST * prior) / (a @ (right + down) + prior), 0.55, MOST)
         on_bad = np.clip((b @ down + 1) / (b @ (up + down) + 2), 0.55, 0.99)
         share = float(np.clip(a.sum() / weight.sum(), 0.1, 0.9))
     return dict(zip(codes.tolist(), p.tolist()))

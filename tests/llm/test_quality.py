@@ -55,3 +55,18 @@ def test_fit_tells_defects_from_good_texts():
     assert p[good] > 0.9 and p[bad] < 0.5
     assert quality.fit({}) == {}
     assert quality.fit({good: 1})[good] > 0.5
+
+
+def test_fit_learns_that_a_rule_is_unreliable():
+    def code(*votes):
+        out = 0
+        for v in votes:
+            out = out * 3 + v + 1
+        return out
+    clean, unended = code(1, 0, 1, 0, 0, 1, 0), code(1, 0, 1, 0, 0, -1, 0)
+    defects = {code(1, 0, -1, 0, -1, -1, 0): 30, code(0, -1, -1, 0, 0, 0, 0): 20, code(1, 0, -1, 0, 0, 0, 0): 20}
+    p = quality.fit({clean: 6000, unended: 3300} | {c: 10 * n for c, n in defects.items()})
+    assert p[clean] > 0.9 and p[unended] > 0.5 and all(p[c] < 0.5 for c in defects)
+    shouted = code(1, 0, 1, 0, 0, 1, -1)
+    assert quality.fit({clean: 9000, shouted: 60})[shouted] < 0.5
+    assert quality.fit({clean: 6000, shouted: 3300})[shouted] > 0.5
