@@ -54,7 +54,7 @@ STAGES = [
     ("packing", pack_sequences),
 ]
 
-# Several stages are no SQL; tests hold the rows against a brute-force version.
+# Several stages are no SQL; no test compares the rows of run() with a brute-force version yet.
 ORACLE_SQL = None
 
 
