@@ -4,14 +4,29 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from rinkframe.llm import chat, decontam, hyperminhash, licenses, linededup, packing, quality, suffixes, toxicity, urls
+from rinkframe.llm import (
+    align,
+    audit,
+    bpe,
+    chat,
+    decontam,
+    hyperminhash,
+    licenses,
+    linededup,
+    packing,
+    quality,
+    suffixes,
+    toxicity,
+    urls,
+)
 from rinkframe.llm.registry import QUERIES, query  # noqa: F401
+from rinkframe.llm.store import keep
 
 
-def tokenizer_path() -> str:
+def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
     import public_tokenizers
 
-    return public_tokenizers.path("word_bpe_49k.json")
+    return public_tokenizers.path(name)
 
 
 @query("op1_toxicity")
@@ -194,3 +209,82 @@ def op9_quality(spark, table):
 def op10_near_duplicates(spark, table):
     """Components of near-duplicates among all documents."""
     return hyperminhash.near_duplicates(table("documents").select("doc_id", "text"))
+
+
+@query("op11_bpe")
+def op11_bpe(spark, table):
+    """Token ids of all documents, and the texts that they decode to."""
+    docs, path = table("documents").select("doc_id", "text"), tokenizer_path()
+    coded = bpe.encode(docs, path, lexicon=bpe.build_lexicon(docs, path)).drop("text")
+    return bpe.decode(coded, path).select(
+        "doc_id", (F.octet_length("ids") / 4).cast("bigint").alias("n_tokens"),
+        F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
+OP12_SQL = r"""
+WITH read AS (
+  SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS t,
+    regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words
+  FROM documents
+), earliest AS (
+  SELECT t, min(doc_id) AS first FROM read GROUP BY t
+), said AS (
+  SELECT doc_id, max(CAST(quality = 1 AS INT)) AS good, max(CAST(toxic = 1 AS INT)) AS toxic
+  FROM labels GROUP BY doc_id
+), judged AS (
+  SELECT part, coalesce(good, 0) AS good, coalesce(toxic, 0) AS toxic,
+    CAST(len(words) < 200 AS INT)
+    + 2 * CAST(100 * len(list_distinct(words)) < 50 * len(words) AS INT)
+    + 4 * CAST(100 * (length(t) - length(regexp_replace(t, '[A-Z]', '', 'g'))) > 2 * length(t) AS INT)
+    + 8 * CAST(regexp_matches(t, '[#$%&*|]') AS INT)
+    + 16 * CAST(coalesce(doc_id > first, false) AS INT) AS mask
+  FROM read JOIN earliest USING (t) LEFT JOIN said USING (doc_id)
+), cells AS (
+  SELECT part, mask, count(*) AS n, sum(good) AS good, sum(toxic) AS toxic FROM judged GROUP BY part, mask
+), active AS (
+  SELECT part, s, coalesce(sum(n) FILTER (mask & s = 0), 0) AS n,
+    coalesce(sum(good) FILTER (mask & s = 0), 0) AS good, coalesce(sum(toxic) FILTER (mask & s = 0), 0) AS toxic
+  FROM cells, (SELECT unnest(range(32)) AS s) GROUP BY part, s
+), letters AS (
+  SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS c
+), orders AS (
+  SELECT a.c || b.c || d.c || e.c || f.c AS o FROM letters a, letters b, letters d, letters e, letters f
+  WHERE len(list_distinct([a.c, b.c, d.c, e.c, f.c])) = 5
+), steps AS (
+  SELECT o, step, CAST(1 << (ascii(substr(o, step, 1)) - 65) AS BIGINT) AS bit,
+    CAST(list_sum(list_transform(string_split(substr(o, 1, step), ''), lambda x: 1 << (ascii(x) - 65))) AS BIGINT) AS here
+  FROM orders, (SELECT unnest([1, 2, 3, 4, 5]) AS step)
+), walked AS (
+  SELECT x.part, o, step, bit, x.n AS kept, w.n - x.n AS removed, w.good - x.good AS good_lost,
+    w.toxic - x.toxic AS toxic_lost
+  FROM steps JOIN active x ON x.s = here JOIN active w ON w.s = here - bit AND w.part = x.part
+)
+SELECT w.part, o AS filter_order, CAST(step AS INT) AS step, CAST(kept AS BIGINT) AS kept,
+  CAST(removed AS BIGINT) AS removed, CAST(z.n - f.n - removed AS BIGINT) AS redundant,
+  CAST(u.n - l.n AS BIGINT) AS unique_fails, CAST(good_lost AS BIGINT) AS good_lost,
+  CAST(toxic_lost AS BIGINT) AS toxic_lost,
+  CAST(sum(removed) OVER (PARTITION BY w.part, bit) AS BIGINT) AS shapley
+FROM walked w
+JOIN active z ON z.part = w.part AND z.s = 0 JOIN active f ON f.part = w.part AND f.s = bit
+JOIN active u ON u.part = w.part AND u.s = 31 - bit JOIN active l ON l.part = w.part AND l.s = 31
+"""
+
+
+@query("op12_filter_audit", OP12_SQL)
+def op12_filter_audit(spark, table):
+    """What five filters remove from every source, in all 120 orders."""
+    return audit.audit(audit.failure_cells(table("documents"), table("labels")))
+
+
+@query("op13_alignment")
+def op13_alignment(spark, table):
+    """Tokens of all documents aligned between two vocabularies, and how usual the links are."""
+    a, b = tokenizer_path("byte_bpe_50k.json"), tokenizer_path("piece_bpe_32k.model")
+    digest = F.when(F.col("n_a") > 0, F.sha2("groups", 256)).otherwise("")
+    aligned = keep(align.align(table("documents"), a, b)
+                   .withColumn("groups_sha256", digest).drop("groups"), "aligned")
+    judged = align.judge_links(aligned, align.side_size(b))
+    return aligned.join(judged, "row", "left").select(
+        "doc_id", "n_a", "n_b", "n_groups", "n_links",
+        F.coalesce("n_best", F.lit(0)).cast("bigint").alias("n_best"),
+        F.coalesce("count_sum", F.lit(0)).cast("bigint").alias("count_sum"), "groups_sha256")
