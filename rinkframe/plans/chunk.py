@@ -207,13 +207,17 @@ def plan_chunk(
     tables: tuple[str, ...] = ALL_TABLES,
     include_preseason: bool = False,
     keep=lambda df, name: df,
+    only: DataFrame | None = None,
 ) -> ChunkPlan:
     """Plan of all tables of one chunk from its document frames.
 
     ``keep`` is called on frames that several tables read; a sync stores them.
     The score feed lists all games in ``games``, preseason ones too; only the
-    list of games to unpack leaves them out.
+    list of games to unpack leaves them out. ``only`` (``game_id, feed_date``) narrows
+    that list to some games.
     """
     work_list = dedupe.work_list(flatten.score_games(docs["score"]), include_preseason)
+    if only is not None:
+        work_list = work_list.join(only, ["game_id", "feed_date"], "left_semi")
     status = keep(game_status(docs, work_list, tables), "status")
     return ChunkPlan(docs, tables, work_list, status, keep)

@@ -111,6 +111,42 @@ def _write_chunk(spark, landing, start, end, options) -> dict[str, int]:
         return rows
 
 
+def complete_games(
+    spark: SparkSession, landing: str, games: DataFrame, options: SyncOptions
+) -> dict[str, int]:
+    """Build some games from their documents and swap their rows into the tables.
+
+    ``games`` (``game_id, feed_date``) all of whose documents have landed; the driver
+    names their files, so a call is for some thousands of games. Other games of the same
+    days are left as they are, and only the partitions of the games' days are rewritten.
+    Returns the rows per table.
+    """
+    with Stage(spark) as stage:
+        games = stage.keep(games.select("game_id", "feed_date").distinct(), "games")
+        asked = [(str(r.feed_date), str(r.game_id)) for r in games.collect()]
+        days = sorted({day for day, _ in asked})
+        docs = {
+            feed: stage.keep(feeds.read_feed(
+                spark, landing, feed,
+                named=[(d, d) for d in days] if feed == "score" else asked), feed)
+            for feed in chunk_plan.needed_feeds(options.tables) if feed != "standings"
+        }
+        plan = chunk_plan.plan_chunk(
+            docs, options.tables, options.include_preseason, keep=stage.keep, only=games)
+        _log_skipped(plan, date.fromisoformat(days[0]), date.fromisoformat(days[-1]), options)
+        touched = set(days) | {r.game_date for r in plan.work_list.select("game_date").distinct().collect()}
+        rows = {}
+        for name in CHUNK_TABLES:
+            if name in plan.names and name != "standings":
+                spec, table = CHUNK_TABLES[name], options.table(name)
+                sink.create_if_missing(spark, table, spec)
+                new = plan.table(name)
+                if name == "games":
+                    new = new.join(games, "game_id", "left_semi")
+                rows[name] = sink.replace_games(new, table, spec, games, touched)
+        return rows
+
+
 def _log_skipped(plan, start, end, options) -> None:
     """Keep the skipped games of each attempt in a table of their own."""
     spark, table = plan.status.sparkSession, options.table("_ingest_skipped")

@@ -46,7 +46,7 @@ def apply_dictionary(spark: SparkSession, table: str, spec: TableSpec, dataset:
     """Replace the dictionary rows of one table."""
     rows = data_dictionary(spark, spec, dataset)
     if not spark.catalog.tableExists(table):
-        rows.limit(0).write.format("parquet").saveAsTable(table)
+        tables.create_keyed(spark, table, rows.schema, ["dataset", "table"], buckets=16)
     return tables.replace_by_key(rows, table, {"dataset": dataset, "table": spec.name})
 
 

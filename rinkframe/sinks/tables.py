@@ -1,23 +1,29 @@
 """Partitioned tables: create, replace a date window, append, upsert.
 
 Tables are Parquet tables of the session catalog. They know no DELETE and no
-MERGE, so windows are replaced by overwriting and dropping date partitions.
+MERGE, so whole partitions are replaced (``swap``): days of a window, or those
+hash buckets of a key that an upsert touches.
 """
 
 from __future__ import annotations
 
 import re
 import uuid
-from contextlib import contextmanager
 from dataclasses import dataclass
 
 from pyspark.errors import PySparkValueError
-from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F, types as T
 
 from rinkframe.functions.coerce import conform
 from rinkframe.operators import replace
+from rinkframe.session import Stage
+from rinkframe.sinks import swap
 from rinkframe.specs import TableSpec
 
+# Partition column of tables dealt by a key, and the table properties that say how.
+BUCKET = "key_bucket"
+_KEY, _BUCKETS = "rinkframe.key", "rinkframe.buckets"
+
 
 @dataclass(frozen=True)
 class Written:
@@ -28,15 +34,46 @@ class Written:
 
 
 def create_if_missing(spark: SparkSession, table: str, spec: TableSpec) -> None:
-    """Empty table with the schema, comments and partition column of its spec."""
+    """Empty table with the schema, comments and partition column of its spec.
+
+    A spec with a key makes a table dealt into hash buckets of that key.
+    """
     if spark.catalog.tableExists(table):
         return
+    if spec.key:
+        create_keyed(spark, table, spec.struct_type(), list(spec.key), spec.buckets)
+        return
     writer = spark.createDataFrame([], spec.struct_type()).write.format("parquet")
     if spec.partition_by:
         writer = writer.partitionBy(spec.partition_by)
     writer.saveAsTable(table)
 
 
+def create_keyed(
+    spark: SparkSession, table: str, schema: T.StructType, key: list[str], buckets: int
+) -> None:
+    """Empty table with one partition per hash bucket of a key, in ``key_bucket``.
+
+    More buckets make an upsert rewrite less of a large table.
+    """
+    dealt = schema.add(T.StructField(BUCKET, T.IntegerType())) if BUCKET not in schema.names else schema
+    spark.createDataFrame([], dealt).write.format("parquet").partitionBy(BUCKET).saveAsTable(table)
+    spark.sql(f"ALTER TABLE {table} SET TBLPROPERTIES ('{_KEY}'='{','.join(key)}', '{_BUCKETS}'='{buckets}')")
+
+
+def _dealt_by(spark: SparkSession, table: str) -> tuple[list[str], int]:
+    """Key and number of buckets of a table that ``create_keyed`` made."""
+    found = {r.key: r.value for r in spark.sql(f"SHOW TBLPROPERTIES {table}").collect()}
+    if _KEY not in found:
+        raise ValueError(f"{table} is not dealt by a key; create it with create_keyed")
+    return found[_KEY].split(","), int(found[_BUCKETS])
+
+
+def bucket_of(key: list[Column], buckets: int) -> Column:
+    """Hash bucket of a key."""
+    return F.pmod(F.xxhash64(*key), F.lit(buckets)).cast("int")
+
+
 def layout(df: DataFrame, spec: TableSpec) -> DataFrame:
     """Rows of one day close together and sorted by the clustering columns.
 
@@ -66,50 +103,50 @@ def replace_window(df: DataFrame, table: str, spec: TableSpec, start: str, end:
     * Rows of ``df`` outside the window are appended; running again repeats them.
     * Rows with a NULL date are never removed.
 
-    In-window dates are overwritten, in-window dates without new rows dropped,
-    and rows outside appended. Counts are taken while writing, so the frame is
-    computed once unless rows lie outside the window. The three steps are not
-    atomic; running the window again puts it right.
+    The frame is computed once, into a folder of its own. In-window dates are then
+    pointed there, in-window dates without new rows dropped, and files of other dates
+    moved. A reader sees the old or the new rows of a date, and a run that was ended
+    halfway changes nothing or is finished by the next one (``swap``).
     """
-    spark = df.sparkSession
-    field = spec.partition_by
+    spark, field = df.sparkSession, spec.partition_by
     inside = replace.in_window(field, start, end)
-    before = _in_window_partitions(spark, table, field, start, end)
     rows = layout(conform(df, spec), spec)
     seen = Observation(f"rows-{uuid.uuid4().hex}")
-    counted = rows.observe(
-        seen,
-        F.count("*").alias("rows"),
-        F.count_if(~inside).alias("outside"),
-        F.collect_set(F.when(inside, F.col(field).cast("string"))).alias("dates"),
-    )
-    with _dynamic_overwrite(spark):
-        _insert(counted.where(inside), table, "overwrite")
+    staged = swap.stage(
+        rows.observe(seen, F.count("*").alias("rows"), F.count_if(~inside).alias("outside")), table, field)
     found = seen.get
     if found["rows"] == 0:
+        staged.discard()
         return Written(0)
-    emptied = sorted(before - set(found["dates"]))
-    if emptied:
-        parts = ", ".join(f"PARTITION ({field} = DATE'{d}')" for d in emptied)
-        spark.sql(f"ALTER TABLE {table} DROP IF EXISTS {parts}")
-    if found["outside"]:
-        append(rows.where(~inside), table)
+    new = staged.values
+    window = [d for d in new if d is not None and str(start) <= d <= str(end)]
+    before = _in_window_partitions(spark, table, field, start, end)
+    staged.commit(window, drop=sorted(before.difference(window)), append=[d for d in new if d not in window])
     return Written(found["rows"], found["outside"])
 
 
-@contextmanager
-def _dynamic_overwrite(spark: SparkSession):
-    """Overwriting a table replaces the partitions that get rows and no others.
+def replace_games(df: DataFrame, table: str, spec: TableSpec, games: DataFrame, days: set[str]) -> int:
+    """Replace the rows of some games, on the days given and those of the new rows.
 
-    Inserting into a catalog table takes this from the session only.
+    Only the partitions of these days are read and written. ``games`` has ``game_id``.
+    Returns the number of new rows.
     """
-    key = "spark.sql.sources.partitionOverwriteMode"
-    before = spark.conf.get(key)
-    spark.conf.set(key, "dynamic")
-    try:
-        yield
-    finally:
-        spark.conf.set(key, before)
+    spark, field = df.sparkSession, spec.partition_by
+    with Stage(spark) as stage:
+        seen = Observation(f"rows-{uuid.uuid4().hex}")
+        new = stage.keep(conform(df, spec).observe(seen, F.count("*").alias("rows")), "new")
+        # One row per touched day.
+        touched = days | {str(r[0]) for r in new.select(field).distinct().collect() if r[0] is not None}
+        if not touched:
+            return 0
+        old = spark.table(table).where(F.col(field).isin([F.lit(d).cast("date") for d in sorted(touched)]))
+        left = old.join(games.select("game_id").distinct(), "game_id", "left_anti")
+        staged = swap.stage(layout(left.select(*spec.names).unionByName(new), spec), table, field)
+        after = staged.values
+        known = {p.split("=", 1)[1] for p in swap.partitions(spark, table)}
+        staged.commit([d for d in after if d is not None], drop=sorted((touched & known).difference(after)),
+                      append=[d for d in after if d is None])
+        return seen.get["rows"]
 
 
 def _insert(df: DataFrame, table: str, mode: str) -> None:
@@ -122,39 +159,64 @@ def append(df: DataFrame, table: str) -> None:
     _insert(df, table, "append")
 
 
-def _rewrite(df: DataFrame, table: str) -> None:
-    """Replace a whole table by a frame that reads it, through a stage table.
+def _swap_buckets(new: DataFrame, table: str, kept) -> None:
+    """Rewrite the buckets that ``new`` (with its bucket) has rows in, and no others.
 
-    The stage is dropped only after the table is written, so it holds all rows
-    if the second step fails.
+    ``kept`` chooses the old rows of these buckets that stay.
     """
-    spark = df.sparkSession
+    spark = new.sparkSession
+    # At most one row per bucket.
+    touched = sorted(r[0] for r in new.select(BUCKET).distinct().collect())
+    old = kept(spark.table(table).where(F.col(BUCKET).isin(touched)))
     names = spark.table(table).columns
-    stage = f"{table}_stage_{uuid.uuid4().hex[:8]}"
-    df.select(*names).write.format("parquet").saveAsTable(stage)
-    spark.table(stage).write.mode("overwrite").insertInto(table)
-    spark.sql(f"DROP TABLE {stage}")
+    rows = old.select(*names).unionByName(new.select(*names))
+    swap.stage(rows.hint("rebalance", BUCKET), table, BUCKET).commit([str(b) for b in touched])
 
 
 def upsert(df: DataFrame, table: str, spec: TableSpec, keys: list[str]) -> int:
     """Overwrite rows with the same key, add the others; returns the rows of ``df``.
 
-    Every column is overwritten. Two source rows with one key are an error.
+    Every column is overwritten. Two source rows with one key are an error. The source is
+    computed once. Only the buckets of its keys are read and written; files of the others
+    stay as they are, and a failure before the swap leaves all old rows.
     """
     spark = df.sparkSession
-    source = conform(df, spec)
-    groups = source.groupBy(*keys).count().agg(
-        F.coalesce(F.sum("count"), F.lit(0)).alias("rows"),
-        F.count_if(F.col("count") > 1).alias("repeated"),
-    ).first()
-    if groups["repeated"]:
-        raise PySparkValueError(f"{groups['repeated']} keys occur more than once in the source")
-    if groups["rows"]:
-        _rewrite(replace.upsert(spark.table(table), source, keys), table)
-    return groups["rows"]
+    dealt, buckets = _dealt_by(spark, table)
+    if list(keys) != dealt:
+        raise ValueError(f"{table} is dealt by {dealt}, not {list(keys)}")
+    swap.settle(spark, table)
+    with Stage(spark) as stage:
+        source = stage.keep(
+            conform(df, spec).withColumn(BUCKET, bucket_of([F.col(k) for k in keys], buckets)), "source")
+        groups = source.groupBy(*keys).count().agg(
+            F.coalesce(F.sum("count"), F.lit(0)).alias("rows"),
+            F.count_if(F.col("count") > 1).alias("repeated"),
+        ).first()
+        if groups["repeated"]:
+            raise PySparkValueError(f"{groups['repeated']} keys occur more than once in the source")
+        if groups["rows"]:
+            _swap_buckets(source, table, lambda old: old.join(source.select(*keys), keys, "left_anti"))
+        return groups["rows"]
 
 
 def replace_by_key(df: DataFrame, table: str, key: dict[str, str]) -> int:
-    """Replace the rows of one key by ``df``; returns its rows."""
-    _rewrite(replace.replace_by_key(df.sparkSession.table(table), df, key), table)
-    return df.count()
+    """Replace the rows of one key by ``df``; returns its rows.
+
+    Rows of ``df`` belong to that key. Only its bucket is read and written.
+    """
+    spark = df.sparkSession
+    dealt, buckets = _dealt_by(spark, table)
+    if set(key) != set(dealt):
+        raise ValueError(f"{table} is dealt by {dealt}, not {list(key)}")
+    swap.settle(spark, table)
+    with Stage(spark) as stage:
+        bucket = bucket_of([F.lit(key[k]) for k in dealt], buckets)
+        seen = Observation(f"rows-{uuid.uuid4().hex}")
+        new = stage.keep(df.withColumn(BUCKET, bucket).observe(seen, F.count("*").alias("rows")), "new")
+        names = spark.table(table).columns
+        at = spark.range(1).select(bucket).first()[0]
+        old = spark.table(table).where(F.col(BUCKET) == at)
+        staged = swap.stage(replace.replace_by_key(old.select(*names), new, key), table, BUCKET)
+        known = f"{BUCKET}={at}" in swap.partitions(spark, table)
+        staged.commit(staged.values, drop=[str(at)] if known and not staged.values else [])
+        return seen.get["rows"]

@@ -147,11 +147,13 @@ def read_feed(
     feed: str,
     start: str | None = None,
     end: str | None = None,
+    named: list[tuple[str, str]] | None = None,
 ) -> DataFrame:
     """Documents of one feed in a landing zone, dates inclusive.
 
-    With a date range only the folders of its days are opened. A document that is
-    no JSON keeps its row with ``is_broken``.
+    With a date range only the folders of its days are opened; with ``named``, a list of
+    days and request keys that have landed, only these files, without listing any folder.
+    A document that is no JSON keeps its row with ``is_broken``.
     """
     schema = feed_schema(feed)
     by_date = feed != "player"
@@ -159,7 +161,10 @@ def read_feed(
     if by_date:
         declared = declared.add("feed_date", T.DateType())
     base = f"{root.rstrip('/')}/{feed}"
-    paths = [base] if start is None else _day_folders(spark, base, start, end)
+    if named is not None:
+        paths = [f"{base}/feed_date={day}/{key}.json" for day, key in named]
+    else:
+        paths = [base] if start is None else _day_folders(spark, base, start, end)
     if paths:
         docs = (
             spark.read.schema(declared)

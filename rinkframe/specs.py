@@ -95,6 +95,9 @@ class TableSpec:
     columns: tuple[ColumnSpec, ...]
     partition_by: str | None = None
     cluster_by: tuple[str, ...] = field(default=())
+    # Key that upserts go by, and how many hash buckets of it the table is dealt into.
+    key: tuple[str, ...] = field(default=())
+    buckets: int = 64
 
     @property
     def names(self) -> list[str]:
@@ -453,6 +456,7 @@ PLAYERS = TableSpec(
            tags=["person"]),
         _ingested(),
     ),
+    key=("player_id",),
 )
 
 # Tables written together for one date chunk, in write order.
