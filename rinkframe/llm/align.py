@@ -17,6 +17,7 @@ from __future__ import annotations
 import json
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -28,8 +29,10 @@ from rinkframe.llm.store import keep
 # Texts of about this many characters are aligned together.
 GROUP_CHARS = 1_000_000
 # Windows remembered by a task, and the longest that is (in tokens of both sides).
-REMEMBERED = 300_000
+REMEMBERED = 200_000
 LONGEST = 64
+# Added to the ids of b where ids of both sides stand together.
+MARK = 1 << 24
 # Counted pairs that are broadcast at once; more come in several passes.
 BROADCAST_PAIRS = 2_000_000
 
@@ -63,7 +66,7 @@ class ByteTokens:
             whole = json.load(file)
         model, letters = whole["model"], byte_of_letter()
         special = {t["id"] for t in whole["added_tokens"] if t["special"]}
-        self.pieces: list[bytes | None] = [None] * (max([*model["vocab"].values(), *special]) + 1)
+        self.pieces = [b""] * (max([*model["vocab"].values(), *special]) + 1)
         for token, i in model["vocab"].items():
             if i not in special:
                 self.pieces[i] = bytes(letters[c] for c in token)
@@ -71,18 +74,19 @@ class ByteTokens:
         ranked = all(model["vocab"].get(a + b) == 256 + k for k, (a, b) in enumerate(merges))
         plain = whole["normalizer"] is None and whole["pre_tokenizer"] == {
             "type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": True}
-        known = {p: i for i, p in enumerate(self.pieces) if p is not None}
+        known = {p: i for i, p in enumerate(self.pieces) if p}
         if ranked and plain and len(known) == 256 + len(merges):
             import tiktoken
 
             coder = tiktoken.Encoding("ranks", pat_str=SPLIT, mergeable_ranks=known, special_tokens={})
-            self.encode = coder.encode_ordinary
+            self.encode = lambda texts: [coder.encode_ordinary(t) for t in texts]
         else:
             from tokenizers import Tokenizer
 
             own = Tokenizer.from_file(path)
             own.encode_special_tokens = True
-            self.encode = lambda text: own.encode(text, add_special_tokens=False).ids
+            self.encode = lambda texts: [
+                e.ids for e in own.encode_batch_fast(texts, add_special_tokens=False)]
 
 
 class PieceTokens:
@@ -92,8 +96,8 @@ class PieceTokens:
         import sentencepiece
 
         coder = sentencepiece.SentencePieceProcessor(model_file=path)
-        self.encode = lambda text: coder.encode(text, num_threads=1)
-        self.pieces: list[bytes | None] = []
+        self.encode = lambda texts: coder.encode(texts, num_threads=1)
+        self.pieces: list[bytes] = []
         for i in range(coder.get_piece_size()):
             piece = coder.id_to_piece(i)
             if coder.is_byte(i):
@@ -112,91 +116,128 @@ def aligner(a_path: str, b_path: str) -> Aligner:
     return Aligner(ByteTokens(a_path), PieceTokens(b_path))
 
 
+class Side:
+    """The pieces of one vocabulary as flat arrays."""
+
+    def __init__(self, coder, separators: list[bytes]):
+        self.encode = coder.encode
+        self.sizes = np.array([len(p) for p in coder.pieces], np.int64)
+        self.marked = np.array([p[:1] == b" " for p in coder.pieces])
+        self.starts = np.cumsum(self.sizes) - self.sizes
+        self.data = np.frombuffer(b"".join(coder.pieces), np.uint8)
+        # An id as decimal text, once with every separator that can follow.
+        self.shown = [b"%d%s" % (i, c) for c in separators for i in range(len(coder.pieces))]
+
+    def spelled(self, ids: np.ndarray) -> np.ndarray:
+        """The bytes of all pieces, end to end."""
+        sizes = self.sizes[ids]
+        return self.data[np.repeat(self.starts[ids] - np.cumsum(sizes) + sizes, sizes)
+                         + np.arange(sizes.sum())]
+
+
 class Aligner:
     """Aligns the tokens ``a`` of space+text with the tokens ``b`` of the text."""
 
     def __init__(self, a, b):
-        self.a, self.b = a, b
-        self.sizes = [np.array([len(p or b"") for p in t.pieces], np.int64) for t in (a, b)]
-        self.marked = [np.array([(p or b"")[:1] == b" " for p in t.pieces]) for t in (a, b)]
-        self.width = len(b.pieces)
+        self.a, self.b = Side(a, [b",", b"|"]), Side(b, [b",", b";", b""])
+        self.width = len(self.b.sizes)
+        self.table = self.a.shown + self.b.shown
         self.memo: dict[bytes, tuple[bytes, bytes]] = {}
 
-    def tokens(self, text: str) -> tuple[list[int], list[int]] | None:
-        """Ids of both sides, or None if one does not give back the text."""
-        want = b" " + text.encode()
-        ids = self.a.encode(" " + text), self.b.encode(text)
-        for side, found in zip((self.a, self.b), ids):
-            if b"".join([side.pieces[i] or b"" for i in found]) != want:
-                return None
-        return ids
-
-    def window(self, merged: bytes) -> tuple[bytes, bytes]:
-        """Groups as text and linked pairs of one window of ids."""
-        ids = np.frombuffer(merged, np.uint32).tolist()
-        a = [i for i in ids if i < 1 << 24]
-        b = [i - (1 << 24) for i in ids if i >= 1 << 24]
-        a_sizes, b_sizes = self.sizes[0][a].tolist(), self.sizes[1][b].tolist()
-        groups, pairs, i, j, from_i, from_j = [], [], 0, 0, 0, 0
-        a_end, b_end = a_sizes[0], b_sizes[0]
-        while True:
-            pairs.append(a[i] * self.width + b[j])
-            step_a, step_b = a_end <= b_end, b_end <= a_end
-            if step_a:
-                i += 1
-            if step_b:
-                j += 1
-            if step_a and step_b:
-                groups.append(",".join(map(str, a[from_i:i])) + "|" + ",".join(map(str, b[from_j:j])))
-                from_i, from_j = i, j
-                if i == len(a):
-                    break
-            if step_a:
-                a_end += a_sizes[i]
-            if step_b:
-                b_end += b_sizes[j]
-        return ";".join(groups).encode(), np.array(pairs, np.int64).tobytes()
-
-    def remembered(self, merged: bytes) -> tuple[bytes, bytes]:
-        found = self.memo.get(merged)
-        if found is None:
-            found = self.window(merged)
-            if len(merged) <= 4 * LONGEST:
-                if len(self.memo) >= REMEMBERED:
-                    self.memo.clear()
-                self.memo[merged] = found
-        return found
+    def tokens(self, texts: list[str]) -> list[tuple[np.ndarray, np.ndarray] | None]:
+        """Ids of both sides; None where one does not give back its text."""
+        want = [(" " + t).encode() for t in texts]
+        coded = self.a.encode([" " + t for t in texts]), self.b.encode(texts)
+        right = np.full(len(texts), True)
+        split = []
+        for side, ids in zip((self.a, self.b), coded):
+            bounds = np.cumsum([0] + [len(i) for i in ids])
+            flat = np.fromiter(chain.from_iterable(ids), np.int64, bounds[-1])
+            spelled, ends = side.spelled(flat).tobytes(), np.append(0, np.cumsum(side.sizes[flat]))[bounds]
+            if spelled != b"".join(want) or (np.diff(ends) != [len(w) for w in want]).any():
+                right &= [spelled[s:e] == w for s, e, w in zip(ends, ends[1:], want)]
+            split.append(np.split(flat, bounds[1:-1]))
+        return [(x, y) if r else None for x, y, r in zip(*split, right)]
+
+    def solve(self, windows: list[bytes]) -> Iterator[tuple[bytes, bytes]]:
+        """Groups as text and linked pairs of every window of ids.
+
+        All windows are laid end to end along their bytes, which are the same on both
+        sides. Between two neighbouring ends of any token lies one link; where tokens of
+        both sides end, so does a group.
+        """
+        merged = np.frombuffer(b"".join(windows), np.uint32).astype(np.int64)
+        in_b = merged >= MARK
+        sides, ids = (self.a, self.b), (merged[~in_b], merged[in_b] - MARK)
+        last = [np.cumsum(s.sizes[i]) - 1 for s, i in zip(sides, ids)]  # byte a token ends on
+        ended = [np.zeros(int(last[0][-1]) + 1, np.int64) for _ in sides]
+        for mark, at in zip(ended, last):
+            mark[at] = 1
+        cut, common = ended[0] | ended[1], ended[0] & ended[1]
+        at = np.flatnonzero(cut)
+        a_of, b_of = [(np.cumsum(mark) - mark)[at] for mark in ended]
+        pairs = (ids[0][a_of] * self.width + ids[1][b_of]).tobytes()
+        # Tokens in the order of groups, those of a first, each shown with what follows it.
+        group = [(np.cumsum(common) - common)[x] for x in last]
+        size = [np.bincount(g) for g in group]
+        place = [np.arange(len(group[0])) + (np.cumsum(size[1]) - size[1])[group[0]],
+                 np.arange(len(group[1])) + np.cumsum(size[0])[group[1]]]
+        ends = [np.append(np.diff(g) > 0, True) for g in group]
+        tokens = np.cumsum([len(w) // 4 for w in windows])
+        closes = np.zeros(len(merged), bool)
+        closes[tokens - 1] = True
+        follows = [ends[0].astype(np.int64), ends[1] + closes[place[1]].astype(np.int64)]
+        order = np.empty(len(merged), np.int64)
+        order[place[0]] = ids[0] + follows[0] * len(self.a.sizes)
+        order[place[1]] = ids[1] + follows[1] * len(self.b.sizes) + len(self.a.shown)
+        shown = [self.table[k] for k in order.tolist()]
+        upto = np.cumsum(cut)[last[1][np.cumsum(in_b)[tokens - 1] - 1]]
+        t, c = [0, *tokens.tolist()], [0, *(8 * upto).tolist()]
+        for k in range(len(windows)):
+            yield b"".join(shown[t[k]:t[k + 1]]), pairs[c[k]:c[k + 1]]
 
     def align(self, texts: list[str | None]) -> Iterator[tuple]:
         """``n_a, n_b, groups, pairs, times`` of every text, in order."""
-        ids = [self.tokens(t) if t else None for t in texts]
+        coded = iter(self.tokens([t for t in texts if t]) if any(texts) else [])
+        ids = [next(coded) if t else None for t in texts]
         kept = [x for x in ids if x is not None]
-        if kept:
-            windows = self._windows(kept)
+        windows = list(self._windows(kept)) if kept else []
+        new = list(set().union(*windows).difference(self.memo))
+        if new:
+            self.memo.update(zip(new, self.solve(new)))
+        queue = iter(windows)
         for x in ids:
             if x is None:
                 yield 0, 0, b"", np.empty(0, np.int64), np.empty(0, np.int64)
                 continue
-            found = [self.remembered(w) for w in next(windows)]
+            found = [self.memo[w] for w in next(queue)]
             links = np.frombuffer(b"".join([f[1] for f in found]), np.int64)
             pairs, times = np.unique(links, return_counts=True)
             yield len(x[0]), len(x[1]), b";".join([f[0] for f in found]), pairs, times
+        if len(self.memo) > REMEMBERED:
+            self.memo.clear()
+        for w in new:
+            if len(w) > 4 * LONGEST:
+                self.memo.pop(w, None)
 
-    def _windows(self, kept: list[tuple[list[int], list[int]]]) -> Iterator[list[bytes]]:
+    def _windows(self, kept: list[tuple[np.ndarray, np.ndarray]]) -> Iterator[list[bytes]]:
         """The ids of every window of every document: those of a, then those of b.
 
         All documents are cut at once: they are laid end to end, and each begins with a
         space-marked token on both sides.
         """
-        flat = [np.concatenate([np.array(x[k], np.int64) for x in kept]) for k in (0, 1)]
-        sizes = [self.sizes[k][flat[k]] for k in (0, 1)]
-        starts = [np.cumsum(s) - s for s in sizes]
-        anchors = np.intersect1d(*[starts[k][self.marked[k][flat[k]]] for k in (0, 1)], assume_unique=True)
-        bounds = [np.append(np.searchsorted(starts[k], anchors), len(flat[k])) for k in (0, 1)]
-        owner = [np.repeat(np.arange(len(anchors)), np.diff(bound)) for bound in bounds]
+        sides, flat = (self.a, self.b), [np.concatenate([x[k] for x in kept]) for k in (0, 1)]
+        sizes = [s.sizes[i] for s, i in zip(sides, flat)]
+        starts = [np.cumsum(n) - n for n in sizes]
+        shared = [np.zeros(int(sizes[0].sum()), bool) for _ in sides]
+        for k in (0, 1):
+            shared[k][starts[k][sides[k].marked[flat[k]]]] = True
+        anchors = shared[0] & shared[1]  # by byte
+        bounds = [np.append(np.flatnonzero(anchors[starts[k]]), len(flat[k])) for k in (0, 1)]
+        # A window's tokens of a stand before its tokens of b.
         merged = np.empty(len(flat[0]) + len(flat[1]), np.uint32)
-        merged[np.arange(len(flat[0])) + bounds[1][owner[0]]] = flat[0]
-        merged[np.arange(len(flat[1])) + bounds[0][owner[1] + 1]] = flat[1] + (1 << 24)
+        merged[np.arange(len(flat[0])) + np.repeat(bounds[1][:-1], np.diff(bounds[0]))] = flat[0]
+        merged[np.arange(len(flat[1])) + np.repeat(bounds[0][1:], np.diff(bounds[1]))] = flat[1] + MARK
         data, cuts = merged.tobytes(), (4 * (bounds[0] + bounds[1])).tolist()
         first = np.cumsum([0] + [len(x[0]) for x in kept])
         begins = np.searchsorted(bounds[0], first).tolist()
