@@ -21,11 +21,13 @@ from collections import Counter
 from collections.abc import Iterator
 from functools import lru_cache
 
+import numpy as np
 import pyarrow as pa
 from pyspark import SparkFiles
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from rinkframe.llm.align import byte_of_letter
 from rinkframe.llm.lexicon import Lexicon, compile_lexicon
 from rinkframe.llm.store import keep, shared_root
 from rinkframe.llm.words import utf8
@@ -66,10 +68,87 @@ def tokenizer(path: str):
     return Tokenizer.from_file(path)
 
 
+# What the fast merger stands for: the vocabulary's normalizer and splitter, as fixed values.
+NORMALIZER = [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": "\\s+"}, "content": " "},
+              {"type": "Lowercase"}]
+SPLITTER = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+# Words of printable ASCII and Latin-1 letters without capitals, which the normalizer leaves
+# as they are, and the same splitter over them.
+_PLAIN = re.compile("[!-@\\[-~ß-öø-ÿ]+")
+_PIECES = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^a-z0-9ß-öø-ÿ]+")
+
+
+class Merger:
+    """Ids of words that no lexicon holds, as little-endian unsigned 32-bit.
+
+    Plain words (printable ASCII and Latin-1 letters, no capitals) are cut as the vocabulary's splitter
+    cuts them and merged by a faster library, with a line feed for the mark of a word's
+    end: a byte that no word holds. That is the same merging if ids are ranks (single
+    letters, letters that end a word, then merges in order), which is looked up in the
+    file; else, and for all other words, the vocabulary's own library does it.
+    """
+
+    def __init__(self, path: str):
+        self.path, self.fast = path, None
+        with open(path, encoding="utf-8") as file:
+            whole = json.load(file)
+        model = whole["model"]
+        vocab, end = model["vocab"], model["end_of_word_suffix"]
+        merges = [m.split(" ") if isinstance(m, str) else m for m in model["merges"]]
+        special = {t["content"] for t in whole["added_tokens"]}
+        steps = (whole["pre_tokenizer"] or {}).get("pretokenizers") or [{}]
+        letters = byte_of_letter()
+        alike = (
+            (whole["normalizer"] or {}).get("normalizers") == NORMALIZER and end
+            and steps[0].get("pattern") == {"Regex": SPLITTER}
+            and all(vocab.get(a + b) == 512 + k for k, (a, b) in enumerate(merges))
+            and {vocab.get(c) for c in letters} == set(range(256))
+            and {vocab.get(c + end) for c in letters} == set(range(256, 512)))
+        if not alike:
+            return
+        ranks = {}
+        for token, i in vocab.items():
+            if token not in special:
+                stem = token.removesuffix(end) if i >= 256 else token
+                ranks[bytes(letters[c] for c in stem) + (b"\n" if stem != token else b"")] = i
+        # A token that holds a line feed of its own would be taken for the end of a word.
+        if len(ranks) == 512 + len(merges) and all(b"\n" not in r[:-1] or r == b"\n\n" for r in ranks):
+            import tiktoken
+
+            self.fast = tiktoken.Encoding("words", pat_str=r"[^\n]+\n", mergeable_ranks=ranks, special_tokens={})
+            self.ends = np.zeros(max(ranks.values()) + 1, bool)
+            self.ends[[i for r, i in ranks.items() if r.endswith(b"\n")]] = True
+
+    def ids(self, words: list[bytes]) -> Iterator[bytes]:
+        """Ids of every word, in order."""
+        texts = [w.decode() for w in words]
+        plain = [self.fast is not None and _PLAIN.fullmatch(t) is not None and "<|" not in t for t in texts]
+        rest = [t for t, p in zip(texts, plain) if not p]
+        slow = iter(tokenizer(self.path).encode_batch_fast(rest, add_special_tokens=False) if rest else [])
+        pieces = [_PIECES.findall(t) for t, p in zip(texts, plain) if p]
+        if pieces:
+            joined = "\n".join([p for cut in pieces for p in cut]) + "\n"
+            ids = np.array(self.fast.encode_ordinary(joined), "<u4")
+            upto = np.append(0, np.flatnonzero(self.ends[ids]) + 1)[np.cumsum([0] + [len(p) for p in pieces])]
+            data, cuts = ids.tobytes(), iter((4 * upto).tolist())
+            at = next(cuts)
+        for p in plain:
+            if p:
+                begin, at = at, next(cuts)
+                yield data[begin:at]
+            else:
+                yield np.array(next(slow).ids, "<u4").tobytes()
+
+
+@lru_cache(maxsize=2)
+def merger(path: str) -> Merger:
+    return Merger(path)
+
+
 def merged(path: str, words: list[bytes]) -> list[bytes]:
-    """Ids of words by the tokenizer, as little-endian unsigned 32-bit."""
-    coded = tokenizer(path).encode_batch_fast([w.decode() for w in words], add_special_tokens=False)
-    return [b"".join([i.to_bytes(4, "little") for i in e.ids]) for e in coded]
+    """Ids of words, in slices of bounded size."""
+    work = merger(path)
+    return [i for k in range(0, len(words), 10_000) for i in work.ids(words[k:k + 10_000])]
 
 
 def _check(path: str) -> None:
@@ -109,11 +188,9 @@ class Encoder:
             places = self.lexicon.places(listed)
             found = {listed[k]: self.lexicon.ids_at(places[k]) for k in (places >= 0).nonzero()[0].tolist()}
         rest = [w for w in words if w not in found]
-        new = sorted(w for w in rest if w not in self.known)
+        new = [w for w in rest if w not in self.known]
         found.update((w, self.known[w]) for w in rest if w in self.known)
-        for k in range(0, len(new), 10_000):
-            part = new[k:k + 10_000]
-            found.update(zip(part, merged(self.path, part)))
+        found.update(zip(new, merged(self.path, new)))
         if len(self.known) + len(new) > REMEMBERED:
             self.known.clear()
         self.known.update((w, found[w]) for w in new[:REMEMBERED] if len(w) <= LONGEST)
@@ -232,8 +309,6 @@ def decode(df: DataFrame, path: str, *, ids: str = "ids", out: str = "decoded")
     """
     @F.arrow_udf("string")
     def texts(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        import numpy as np
-
         own = tokenizer(path)
         tokens = {i: t for t, i in own.get_vocab(with_added_tokens=True).items()}
         for batch in batches:

@@ -15,16 +15,14 @@ pieces.
 
 from __future__ import annotations
 
-import os
-import re
 import zlib
-from collections.abc import Iterator
 
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from rinkframe.llm.bpe import Encoder
 from rinkframe.llm.store import keep
 from rinkframe.llm.words import utf8
 
@@ -35,63 +33,10 @@ LEAST_CUT = 8
 # So many partitions' leftovers are packed by one task at the next level.
 FAN_IN = 64
 
-_MARKS = re.compile("[̀-ͯ]")
 PIECE = ("doc_id bigint, start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint, "
          "sequence_id bigint, offset bigint, ids binary, nest bigint, slot int, seat int")
 
 
-class WordIds:
-    """Token ids of texts, as little-endian bytes, with words remembered.
-
-    The vocabulary's pre-tokenizer never lets a token reach over white space, so a
-    text's ids are those of its words in order. A-Z are lower-cased before the
-    look-up, as the normalizer does, unless a combining mark or a special token's
-    bracket could make that differ.
-    """
-
-    def __init__(self, path: str, limit: int = 400_000):
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
-
-        self.tokenizer = Tokenizer.from_file(path)
-        self.known: dict[bytes, bytes] = {}
-        self.limit = limit
-
-    def learn(self, words: set[bytes]) -> None:
-        new = sorted(words.difference(self.known))
-        if len(self.known) + len(new) > self.limit:
-            self.known.clear()
-            new = sorted(words)
-        coded = self.tokenizer.encode_batch_fast(
-            [w.decode() for w in new], add_special_tokens=False)
-        for w, e in zip(new, coded):
-            self.known[w] = b"".join(i.to_bytes(4, "little") for i in e.ids)
-
-    def words(self, text: bytes) -> list[bytes]:
-        if b"<|" in text or not text.isascii() and _MARKS.search(text.decode()):
-            return text.split()
-        return text.lower().split()
-
-    def ids(self, texts: list[bytes]) -> Iterator[bytes]:
-        for group in _grouped(texts, 4_000_000):
-            split = [self.words(t) for t in group]
-            self.learn(set().union(*split))
-            for words in split:
-                yield b"".join(map(self.known.__getitem__, words))
-
-
-def _grouped(texts: list[bytes], size: int) -> Iterator[list[bytes]]:
-    group, n = [], 0
-    for t in texts:
-        group.append(t)
-        n += len(t)
-        if n >= size:
-            yield group
-            group, n = [], 0
-    if group:
-        yield group
-
-
 class Packer:
     """Open windows of one task; emitted pieces are taken with ``drain``."""
 
@@ -190,7 +135,7 @@ def pack(df: DataFrame, tokenizer: str, *, doc_id: str = "doc_id", text: str = "
     from each task.
     """
     def first(batches):
-        coder = WordIds(tokenizer)
+        coder = Encoder(tokenizer, None)
         packer = Packer(TaskContext.get().partitionId(), capacity, windows, with_ids)
         end = end_id.to_bytes(4, "little")
         for batch in batches:

@@ -84,6 +84,20 @@ def test_frequent_words_are_whole_classes_within_the_bound(documents):
         assert {bytes(r["word"]) for r in bpe.frequent_words(docs, most=most).collect()} == want
 
 
+def test_both_mergers_agree(path):
+    """Words of every class of characters, merged fast and by the vocabulary's own library."""
+    rng = random.Random(9)
+    pool = "abcdefghijklmnopqrstuvwxyz''smtdlvr0123456789.,-_\"!/<|>~éüßñçøÿÉ×÷ª²\u00ad\u0301İıſǅ日я\x00\x7f"
+    words = ["".join(rng.choice(pool) for _ in range(rng.randint(1, 12))).encode() for _ in range(20_000)]
+    words += [b"it's", b"x'stuff", b"''ll", b"<|endoftext|>", b"a" * 5000, b"'", b"\xc3\xa9'll"]
+    coder = bpe.Merger(path)
+    assert coder.fast is not None
+    want = bpe.tokenizer(path).encode_batch_fast([w.decode() for w in words], add_special_tokens=False)
+    assert list(coder.ids(words)) == [b"".join(i.to_bytes(4, "little") for i in e.ids) for e in want]
+    coder.fast = None
+    assert list(coder.ids(words[:500])) == bpe.merged(path, words[:500])
+
+
 def test_memory_of_merged_words_has_no_effect(path, monkeypatch):
     monkeypatch.setattr(bpe, "REMEMBERED", 3)
     rows = [(t or "").encode() for _, t in texts()]

@@ -20,17 +20,6 @@ def texts():
     return rows + [(100, None), (101, ""), (102, "word " * 9000), (103, "  \n\t "), (5, rows[5][1]), (None, "x")]
 
 
-def test_ids_are_the_tokenizers(tokenizer):
-    from tokenizers import Tokenizer
-
-    plain = Tokenizer.from_file(tokenizer)
-    coder = packing.WordIds(tokenizer, limit=50)
-    rows = [t or "" for _, t in texts()]
-    for text, ids in zip(rows, coder.ids([t.encode() for t in rows])):
-        want = plain.encode(text, add_special_tokens=False).ids
-        assert ids == b"".join(i.to_bytes(4, "little") for i in want)
-
-
 def test_every_token_lies_in_one_piece(text_spark, documents, tokenizer):
     from tokenizers import Tokenizer
 
