@@ -56,14 +56,13 @@ def score_documents(view) -> DataFrame:
                      f"struct(array({first}, {second}) AS games)")
 
 
-def landing_documents(view) -> DataFrame:
+def landing_documents(orders: DataFrame) -> DataFrame:
     outcome = """, named_struct('lastPeriodType', CASE substr(o_orderpriority, 1, 1)
       WHEN '1' THEN 'REG' WHEN '2' THEN 'OT' WHEN '3' THEN 'SO' WHEN '4' THEN '' END)
       AS gameOutcome"""
     body = _GAME.format(id="o_orderkey", season=_SEASON, kind="o_orderkey % 5", date=_DATE,
                         more=outcome)
-    finished = view("orders").where("o_orderstatus = 'F'")
-    return documents(finished, "landing", "o_orderkey", "o_orderdate", body)
+    return documents(orders, "landing", "o_orderkey", "o_orderdate", body)
 
 
 _GAME_COLUMNS_SQL = """
@@ -96,7 +95,7 @@ landing_rows AS (
       WHEN '4' THEN '' END AS final_period_type,
     CASE substr(o_orderpriority, 1, 1) WHEN '1' THEN 'false' WHEN '2' THEN 'false'
       WHEN '3' THEN 'true' END AS is_shootout_decided, {_GAME_COLUMNS_SQL}
-  FROM orders WHERE o_orderstatus = 'F'
+  FROM orders
 )"""
 
 
@@ -110,7 +109,7 @@ def games_from_score(view):
 @query("prj6_games_from_landing", f"""WITH {LANDING_SQL}
 SELECT * EXCLUDE (feed_date, pos) FROM landing_rows""")
 def games_from_landing(view):
-    return _plain(flatten.games_from_landing(landing_documents(view)))
+    return _plain(flatten.games_from_landing(landing_documents(view("orders"))))
 
 
 @query("win2_latest_games", f"""WITH {SCORE_SQL}, {LANDING_SQL},
@@ -118,13 +117,16 @@ ranked AS (
   SELECT *, row_number() OVER (PARTITION BY game_id
     ORDER BY source_rank DESC, feed_date DESC, pos DESC) AS k
   FROM (SELECT *, 0 AS source_rank FROM score_rows
-        UNION ALL BY NAME SELECT *, 1 AS source_rank FROM landing_rows)
+        UNION ALL BY NAME SELECT *, 1 AS source_rank FROM landing_rows
+          WHERE game_state = 'FINAL')
 )
 SELECT * EXCLUDE (feed_date, pos, kind, source_rank, k) FROM ranked WHERE k = 1""")
 def latest_games(view):
+    """Only finished games have a landing document, so both sources give rows."""
+    finished = view("orders").where("o_orderstatus = 'F'")
     return _plain(dedupe.latest_games(
         flatten.games_from_score(score_documents(view), keep=("feed_date", "pos")),
-        flatten.games_from_landing(landing_documents(view), keep=("feed_date",))))
+        flatten.games_from_landing(landing_documents(finished), keep=("feed_date",))))
 
 
 @query("win3_work_list", f"""WITH {SCORE_SQL}

@@ -44,7 +44,7 @@ plays AS (
 shifts AS (
   SELECT event_id AS shift_id, game_id, team AS team_id, 100 + user_id % 12 AS player_id,
     second AS start_abs_seconds, second + CAST(floor(value * 20) AS BIGINT) - 600 AS end_abs_seconds
-  FROM e WHERE event_type = 'signup' AND value >= 25
+  FROM e
 )"""
 
 
@@ -88,8 +88,8 @@ def plays(view) -> DataFrame:
 
 
 def shifts(view) -> DataFrame:
-    """Shifts of ``events``, some of them inverted."""
-    return _event_base(view).where("event_type = 'signup' AND value >= 25").selectExpr(
+    """A shift of every event; many are inverted or empty."""
+    return _event_base(view).selectExpr(
         "event_id AS shift_id",
         "game_id",
         "team AS team_id",

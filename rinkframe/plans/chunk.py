@@ -75,9 +75,15 @@ class ChunkPlan:
             "game_id", "game_date", "stage", reason.alias("reason"))
 
     def row_counts(self) -> DataFrame:
-        """Rows per table, a table without rows included."""
+        """Rows per table, a table without rows included.
+
+        Nothing is joined to count plays: who was on the ice adds no row.
+        """
+        def rows(name: str) -> DataFrame:
+            return play_ops.play_rows(self._documents(name)) if name == "plays" else self.table(name)
+
         return reduce(DataFrame.unionByName, (
-            self.table(n).agg(F.count("*").alias("rows")).select(F.lit(n).alias("table"), "rows")
+            rows(n).agg(F.count("*").alias("rows")).select(F.lit(n).alias("table"), "rows")
             for n in self.names
         ))
 
