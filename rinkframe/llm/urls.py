@@ -8,7 +8,8 @@ under them, and only those run their regular expressions.
 Defined cases: a null URL, or one without ``://``, has an empty host and path and no
 rule; repeated rows get the same verdict; of several host rules the longest decides
 (of equal length, the alphabetically last), and host rules go before patterns; an
-empty table gives an empty result; columns made here replace input columns of the
+empty table gives an empty result; rows without a place meet no rule and take no part
+in the join; columns made here replace input columns of the
 same name.
 """
 
@@ -114,7 +115,10 @@ def judge(df: DataFrame, rules: list[Rule], url: str = "url") -> DataFrame:
     best = F.max(F.struct("is_host", "size", "rule", "verdict"))
     hits = (tokens.join(index, "token").filter(F.regexp_like("at", F.col("regex")))
             .groupBy(F.col("at").alias(place)).agg(best.alias(hit)))
-    return (rows.join(hits, place, "left")
+    # No token, no rule: kept out of the join, where all of them would be one key.
+    met = rows.filter(F.col(place) != "").join(hits, place, "left")
+    bare = rows.filter(F.col(place) == "").withColumn(hit, F.lit(None).cast(hits.schema[hit].dataType))
+    return (met.unionByName(bare)
             .withColumns({
                 "rule": F.when(F.col(hit)["is_host"], F.col(hit)["rule"]),
                 "verdict": F.coalesce(F.col(hit)["verdict"], F.lit("allow")),

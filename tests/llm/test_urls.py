@@ -46,3 +46,14 @@ def test_rules_need_a_token_and_tables_can_be_empty(text_spark):
     assert urls.judge(empty, RULES).count() == 0
     one = text_spark.createDataFrame([("http://a.com/de/",)], "url string")
     assert urls.judge(one, []).first()["verdict"] == "allow"
+
+
+def test_rows_without_a_place_stay_out_of_the_join(text_spark):
+    rows = [None, "", "no scheme", "http://"] * 50 + ["https://a.com/de/", "https://b.net/"]
+    out = urls.judge(text_spark.createDataFrame([(u,) for u in rows], "url string"), RULES)
+    assert out.columns == ["url", "host", "path", "rule", "verdict"]
+    got = [tuple(r) for r in out.collect()]
+    assert len(got) == len(rows) and got.count((None, "", "", None, "allow")) == 50
+    assert ("https://a.com/de/", "a.com", "/de/", "com/de/", "block") in got
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.lstrip().startswith("Union") and plan.count("Join LeftOuter, (place") == 1
