@@ -7,21 +7,25 @@ Everything is a DataFrame expression.
 
 Defined cases: a null role or text is empty; a record whose fingerprint is not
 declared has no layout and null turns; turns of one number are ordered by role and
-text; a null turn number comes first; an empty table gives no rows; a conversation
-of any length is formatted in chunks, so that no step but the final hash of its
-whole text needs it in one row.
+text, repeated rows one after the other; a null turn number comes first; an empty table
+gives no rows; input columns of any name may stand beside the four that are read. A
+conversation of any length is formatted in chunks, cut by turn numbers and by bytes, so
+that no step but the final hash of its whole text needs it in one row. A single turn may
+have as much text as Spark's variants hold, 128 MiB.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 TURNS = "array<struct<role string, text string>>"
 # Turns of one chunk, by number.
 CHUNK = 64
+# A chunk of more bytes is cut further; one turn is never cut.
+CHUNK_BYTES = 1 << 23
 
 # Fixed values of the template.
 OPEN, MIDDLE, CLOSE = "<|im_start|>", "<|im_sep|>", "<|im_end|>\n"
@@ -152,25 +156,36 @@ def masked_text(formatted: Column, spans: Column) -> Column:
         formatted, (s["start"] + 1).cast("int"), s["length"].cast("int")))), "")
 
 
-def records_from_rows(df: DataFrame, conv: str, turn: str, role: str, text: str) -> DataFrame:
-    """Rows by turn as records in the layout ``messages``, one per chunk of turns."""
-    chunk = F.coalesce(F.floor(F.col(turn) / CHUNK).cast("bigint"), F.lit(-(2**62)))
-    listed = F.array_sort(F.collect_list(F.struct(
+def records_from_rows(df: DataFrame, conv: str, turn: str, role: str, text: str,
+                      chunk_bytes: int = CHUNK_BYTES) -> DataFrame:
+    """Rows by turn as records in the layout ``messages``, one per ``chunk`` of turns:
+    its number and, within it, that of its ``part`` of at most ``chunk_bytes`` before its
+    last turn."""
+    rows = df.select(
+        F.col(conv).alias("conv_id"),
+        F.coalesce(F.floor(F.col(turn) / CHUNK).cast("bigint"), F.lit(-(2**62))).alias("number"),
         F.coalesce(F.col(turn), F.lit(-(2**63))).alias("turn"),
         F.coalesce(F.col(role), F.lit("")).alias("role"),
-        F.coalesce(F.col(text), F.lit("")).alias("content"))))
+        F.coalesce(F.col(text), F.lit("")).alias("content"))
+    before = Window.partitionBy("conv_id", "number").orderBy("turn", "role", "content").rowsBetween(
+        Window.unboundedPreceding, -1)
+    size = F.sum((F.octet_length("role") + F.octet_length("content")).cast("bigint")).over(before)
+    part = F.floor(F.coalesce(size, F.lit(0)) / chunk_bytes).cast("bigint")
+    listed = F.array_sort(F.collect_list(F.struct("turn", "role", "content")))
     messages = F.transform(listed, lambda m: F.struct(m["role"].alias("role"), m["content"].alias("content")))
-    return (df.groupBy(F.col(conv).alias("conv_id"), chunk.alias("chunk"))
-            .agg(F.to_variant_object(F.struct(messages.alias("messages"))).alias("record")))
+    # The window's shuffle serves the grouping too.
+    return (rows.withColumn("part", part).groupBy("conv_id", "number", "part")
+            .agg(F.to_variant_object(F.struct(messages.alias("messages"))).alias("record"))
+            .select("conv_id", F.struct(F.col("number"), F.col("part")).alias("chunk"), "record"))
 
 
-def format_conversations(df: DataFrame, conv: str = "conv_id", turn: str = "turn",
-                         role: str = "role", text: str = "text") -> DataFrame:
+def format_conversations(df: DataFrame, conv: str = "conv_id", turn: str = "turn", role: str = "role",
+                         text: str = "text", chunk_bytes: int = CHUNK_BYTES) -> DataFrame:
     """One row per chunk of a conversation: ``conv_id, chunk, formatted, loss_spans``.
 
-    A conversation's text is that of its chunks in order; spans count from the start
-    of their chunk.
+    A conversation's text is that of its chunks in order (``chunk`` is a pair of numbers);
+    spans count from the start of their chunk.
     """
-    read = canonical(records_from_rows(df, conv, turn, role, text))
+    read = canonical(records_from_rows(df, conv, turn, role, text, chunk_bytes))
     formatted = read.select("conv_id", "chunk", template(F.col("turns")).alias("formatted"))
     return formatted.withColumn("loss_spans", loss_mask(F.col("formatted")))

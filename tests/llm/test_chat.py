@@ -43,3 +43,20 @@ def test_empty_table(text_spark):
     df = text_spark.createDataFrame([], "conv_id bigint, turn bigint, role string, text string")
     assert chat.format_conversations(df).count() == 0
     assert hashlib.sha256(b"").hexdigest() == text_spark.range(1).select(F.sha2(F.lit(""), 256)).first()[0]
+
+
+def test_chunks_are_cut_by_bytes(text_spark):
+    """Turns of one number, or none, make parts of bounded size whose order is kept."""
+    rows = [(1, None, "user", f"{k:03d} é" * 5) for k in range(60)] * 2
+    rows += [(1, 3, "assistant", "x" * n) for n in (0, 1, 700, 2000)] + [(2, 3, "assistant", "")]
+    df = text_spark.createDataFrame(rows, "conv_id bigint, turn bigint, role string, text string").withColumns(
+        {"chunk": F.lit(1), "number": F.lit(2), "part": F.lit(3), "content": F.lit("c")})
+    out = chat.format_conversations(df, chunk_bytes=500).withColumn("turns", chat.read_back(F.col("formatted"))).collect()
+    for conv in (1, 2):
+        mine = sorted((r for r in out if r["conv_id"] == conv), key=lambda r: r["chunk"])
+        want = sorted([(-1 if r[1] is None else r[1], r[2], r[3]) for r in rows if r[0] == conv])
+        assert [(t["role"], t["text"]) for r in mine for t in r["turns"]] == [w[1:] for w in want]
+        for r in mine:
+            sizes = [len(t["role"] + t["text"].encode().decode("latin-1")) for t in r["turns"]]
+            assert sum(sizes[:-1]) < 500
+    assert len(out) > 10
