@@ -119,24 +119,44 @@ def play_rows(documents: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
     )
 
 
+_NARROW = ("pos", "event_abs_seconds", "home_team_id", "away_team_id", "home_score", "away_score")
+_ANSWERS = (
+    "pos", "home_score_before", "home_score_after", "away_score_before", "away_score_after",
+    "home_on_ice_ids", "away_on_ice_ids", "source_quality",
+)
+
+
+def running(rows: DataFrame, merge_shifts: DataFrame, key: str = "game_id") -> DataFrame:
+    """What the game stands at for every play: carried scores and players on the ice.
+
+    One narrow row per play, named by ``key`` and ``pos``.
+    """
+    scored = carry.carry_scores(
+        rows.select(*dict.fromkeys((key, *_NARROW))), "pos",
+        {"home_score": "home_score", "away_score": "away_score"}, keys=(key,))
+    iced = onice.with_on_ice(
+        scored, merge_shifts.withColumnRenamed("game_id", key), event="pos", game=key)
+    return iced.select(key, *_ANSWERS)
+
+
 def complete_plays(rows: DataFrame, merge_shifts: DataFrame, key: str = "game_id") -> DataFrame:
     """Play rows with carried scores, players on the ice and strength label.
 
     ``key`` names the game that a document was asked for, which is also the game of
     its shifts; the id inside the document may differ and is only put out.
 
-    ``rows`` is read more than once; hand over a stored frame where computing it
-    is dear.
+    Scores and players are found on the few columns they need; the wide rows are
+    shuffled once, to meet the finished answers by game and place (``pos`` is unique
+    within a game). ``rows`` is read more than once; hand over a stored frame where
+    computing it is dear.
     """
-    scored = carry.carry_scores(
-        rows, "pos", {"home_score": "home_score", "away_score": "away_score"}, keys=(key,))
-    iced = onice.with_on_ice(
-        scored, merge_shifts.withColumnRenamed("game_id", key), event="pos", game=key)
     label = codes.strength_state(
         F.col("home_skaters_on_ice"), F.col("away_skaters_on_ice"),
         F.col("home_goalie_on_ice"), F.col("away_goalie_on_ice"),
     )
-    finished = iced.withColumn(
+    answers = running(rows, merge_shifts, key).withColumnsRenamed({key: "_game", "pos": "_pos"})
+    met = rows.join(answers, (F.col(key) == F.col("_game")) & (F.col("pos") == F.col("_pos")))
+    finished = met.withColumn(
         "strength_state",
         codes.gated_strength(F.col("period_type"), F.col("source_quality"), label),
     ).withColumn("ingested_at", F.current_timestamp())

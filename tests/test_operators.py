@@ -1,12 +1,13 @@
 """Operators against plain Python on small and on random games."""
 
 import random
+import re
 
 import pytest
 from hypothesis import HealthCheck, given, settings, strategies as st
 from pyspark.sql import functions as F
 
-from rinkframe.operators import carry, checks, chunks, dedupe, discovery, onice, replace
+from rinkframe.operators import carry, checks, chunks, dedupe, discovery, onice, plays as play_ops, replace
 
 EVENT = "event_id long, game_id long, event_abs_seconds long, home_team_id long, away_team_id long"
 SHIFT = "game_id long, team_id long, player_id long, start_abs_seconds long, end_abs_seconds long"
@@ -154,3 +155,47 @@ def test_replace_window_keeps_null_dates_and_needs_rows(spark):
     none = spark.createDataFrame([], schema)
     got = replace.replace_window(target, none, "day", "2024-01-01", "2024-01-31")
     assert sorted(r.id for r in got.collect()) == [1, 2, 3, 4]
+
+
+WIDE = (
+    "game_id long, pos int, event_abs_seconds long, home_team_id long, away_team_id long, home_score long, "
+    "away_score long, home_skaters_on_ice int, away_skaters_on_ice int, home_goalie_on_ice boolean, "
+    "away_goalie_on_ice boolean, period_type string, event_type_desc string, time_in_period string"
+)
+
+
+def test_complete_plays_moves_wide_rows_once(spark):
+    """Scores and players equal a walk along each game, and only one exchange has text in it."""
+    rng = random.Random(12)
+    plays = [
+        (g, pos, rng.choice((None, rng.randrange(200))), 1, rng.choice((2, 2, 1)), rng.choice((None, 0, 0, pos)),
+         rng.choice((None, 0, 1)), 5, 5, True, True, "REG", f"kind {pos}", "01:00")
+        for g in (1, 2, 3) for pos in rng.sample(range(90), 40)
+    ]
+    shifts = [(rng.choice((1, 2)), rng.randint(1, 3), rng.randint(1, 6), a, a + rng.randint(-5, 90))
+              for a in (rng.randrange(200) for _ in range(60))]
+    limits = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.debug.maxToStringFields": "500"}
+    before = {k: spark.conf.get(k) for k in limits}
+    for k, v in limits.items():
+        spark.conf.set(k, v)
+    try:
+        out = play_ops.complete_plays(spark.createDataFrame(plays, WIDE), spark.createDataFrame(shifts, SHIFT))
+        text = spark._jvm.PythonSQLUtils.explainString(out._jdf.queryExecution(), "formatted")
+        got = {(r.game_id, r.event_type_desc): r for r in out.collect()}
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    moved = [b for b in text.split("\n\n") if re.match(r"\(\d+\) Exchange", b.strip()) and "event_type_desc" in b]
+    assert len(moved) == 1
+    assert len(got) == len(plays)
+    events = [(p[12] + str(p[0]), p[0], *p[2:5]) for p in plays]
+    iced = expected_on_ice(events, shifts)
+    for g in (1, 2, 3):
+        home = away = 0
+        for p in sorted((p for p in plays if p[0] == g), key=lambda p: p[1]):
+            r = got[g, p[12]]
+            assert (r.home_score_before, r.away_score_before) == (home, away)
+            assert r.home_score_after == (home if p[5] is None else p[5])
+            assert r.away_score_after == (away if p[6] is None else p[6])
+            home, away = p[5] or home, p[6] or away
+            assert (r.home_on_ice_ids, r.away_on_ice_ids, r.source_quality) == iced[p[12] + str(g)]
