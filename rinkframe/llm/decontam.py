@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rinkframe.llm.store import keep
-from rinkframe.llm.words import mix, odd_numbers, utf8
+from rinkframe.llm.words import lean, mix, odd_numbers, utf8
 
 Q = 12
 REGION = 80
@@ -305,7 +305,7 @@ def _finder(index: Index):
                 [pa.array([ids[r] for r in columns[0]], pa.int64())]
                 + [pa.array(list(c), pa.int64()) for c in columns[1:]],
                 ["doc_id", "item_id", "regions", "chars", "edits"])
-    return find
+    return lean(find)
 
 
 def drop_leaks(documents: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id",

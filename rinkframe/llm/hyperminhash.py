@@ -33,7 +33,9 @@ from pyspark.sql import functions as F
 
 from rinkframe.llm.graph import components
 from rinkframe.llm.store import keep
-from rinkframe.llm.words import hashed, mix, odd_numbers, pack5, unpack5, utf8, window_hashes, word_hashes
+from rinkframe.llm.words import (
+    hashed, lean, mix, odd_numbers, pack5, unpack5, utf8, window_hashes, word_hashes,
+)
 
 SHINGLE = 5
 # Links need 100 * intersection >= PERCENT * union.
@@ -112,7 +114,7 @@ def signatures(df: DataFrame, doc_id: str = "doc_id", text: str = "text") -> Dat
                 ["doc_id", "n_shingles", "h1", "h2", "registers"])
 
     source = df.select(F.col(doc_id).cast("bigint").alias("doc_id"), F.col(text).alias("text"))
-    return source.mapInArrow(make, SIGNATURE)
+    return source.mapInArrow(lean(make), SIGNATURE)
 
 
 def _bands(classes: DataFrame) -> DataFrame:
@@ -125,7 +127,7 @@ def _bands(classes: DataFrame) -> DataFrame:
                 [pa.array(np.concatenate(keys) if keys else np.empty(0, np.int64)),
                  pa.array(repeat(0)), pa.array(repeat(1))], ["key", "id", "n"])
 
-    return classes.select("id", "n", "registers").mapInArrow(make, "key bigint, id bigint, n bigint")
+    return classes.select("id", "n", "registers").mapInArrow(lean(make), "key bigint, id bigint, n bigint")
 
 
 def _fits(n, m):
@@ -166,7 +168,7 @@ def _full_sets(source: DataFrame, wanted: DataFrame) -> DataFrame:
 
     texts = (source.withColumnRenamed("doc_id", "id")
              .join(F.broadcast(wanted) if small else wanted, "id", "left_semi"))
-    return texts.select("id", "text").mapInArrow(full, "id bigint, set binary")
+    return texts.select("id", "text").mapInArrow(lean(full), "id bigint, set binary")
 
 
 def _verified(pairs: DataFrame, source: DataFrame) -> DataFrame:

@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 
 from rinkframe.llm.bpe import Encoder
 from rinkframe.llm.store import keep
-from rinkframe.llm.words import utf8
+from rinkframe.llm.words import lean, utf8
 
 CAPACITY = 2048
 OPEN_WINDOWS = 16
@@ -161,7 +161,7 @@ def pack(df: DataFrame, tokenizer: str, *, doc_id: str = "doc_id", text: str = "
         return merge
 
     source = df.select(F.col(doc_id).cast("bigint").alias("doc_id"), F.col(text).alias("text"))
-    done = keep(source.mapInArrow(first, PIECE), "packed")
+    done = keep(source.mapInArrow(lean(first), PIECE), "packed")
     names = ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"]
     names += ["ids"] * with_ids
     packed = [done.filter(F.col("sequence_id").isNotNull()).select(*names)]

@@ -14,13 +14,15 @@ name.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rinkframe.llm.store import free_name
-from rinkframe.llm.words import SPACE, utf8, window_hashes
+from rinkframe.llm.words import SPACE, release, utf8, window_hashes
 
 SYMBOLS = b"#*$%&|<>"
 WINDOW = 8
@@ -79,6 +81,14 @@ def _measure(texts: pa.Array) -> pa.Array:
         [pa.array(np.ascontiguousarray(rows[:, k])) for k in range(len(_COUNTS))], list(_COUNTS))
 
 
+def _measures():
+    @F.arrow_udf(STATS_TYPE)
+    def column(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        yield from map(_measure, batches)
+        release()
+    return column
+
+
 def base_failed(s):
     """Fewer than 20 words, or over 30 % of them repeated in windows."""
     return (s["n_words"] < 20) | (100 * s["n_repeat_words"] > 30 * s["n_words"])
@@ -161,7 +171,7 @@ def judge(df: DataFrame, text: str = "text") -> DataFrame:
     patterns, the second looks the posterior of each row's pattern up. The table of
     posteriors has at most 3**7 rows, so broadcasting it is safe at any size.
     """
-    measured = df.withColumn("quality", F.arrow_udf(_measure, STATS_TYPE)(F.col(text)))
+    measured = df.withColumn("quality", _measures()(F.col(text)))
     s = F.col("quality")
     counted = (measured.filter(~base_failed(s))
                .groupBy(_pattern(s).alias("pattern")).count().collect())

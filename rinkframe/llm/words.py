@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import ctypes
+import gc
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -17,6 +19,27 @@ SPACE = b" \t\n\v\f\r"
 REMEMBERED = 250_000
 
 
+def release() -> None:
+    """Give free memory of this worker back to the system."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
+def lean(work: Callable) -> Callable:
+    """``work`` on the batches of a task, without keeping memory when it is done.
+
+    Python workers outlive their tasks. What a task remembered would stay with an idle
+    worker, beside the workers of later stages.
+    """
+    def run(batches):
+        yield from work(batches)
+        release()
+    return run
+
+
 def utf8(texts: pa.Array) -> Iterator[bytes]:
     """The UTF-8 bytes of every text; a null is an empty text."""
     return (b if b is not None else b"" for b in _binary(texts).to_pylist())
