@@ -9,7 +9,7 @@ Defined cases: a null or empty text has no features and scores by the intercept
 alone; a label that is null is left out, several labels of one document count as
 their largest; repeated rows are scored each for itself; a training set without
 both labels gives its own share of toxic texts as every score (0.5 if it is
-empty).
+empty). A column ``score`` of the input is replaced; other columns are passed on.
 """
 
 from __future__ import annotations
@@ -23,15 +23,14 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rinkframe.llm.words import Remembered, hashed, mix, odd_numbers, utf8
+from rinkframe.llm.store import keep
+from rinkframe.llm.words import Remembered, hashed, lean, mix, odd_numbers, utf8
 
 BITS = 20
 # Documented bound of the training sample: the labelled rows with the smallest
-# hashes. Counted and joined as ids; their texts stay on the executors.
+# hashes, of those that have a document. Joined as ids; their texts stay on the executors.
 MAX_ROWS = 24_000
-# A shard holds about this many of them: fewer would hide rare features.
-SHARD_ROWS = 12_000
-# A feature takes part from this many texts of its shard on.
+# A feature takes part from this many texts of the sample on.
 LEAST_TEXTS = 10
 STEMS = (4, 5)
 
@@ -123,35 +122,39 @@ class Model:
 
 def fit(documents: DataFrame, labels: DataFrame, *, doc_id: str = "doc_id", text: str = "text",
         label: str = "toxic", max_rows: int = MAX_ROWS, epochs: int = 6, bits: int = BITS) -> Model:
-    """Fit on the labelled rows, at most ``max_rows`` of them.
+    """Fit on the labelled rows, at most ``max_rows`` of them, whatever their number.
 
-    Each shard of the sample is learnt by one task, and the shards' weights are
-    averaged; a weight goes unless it holds in most of the averaged mass.
+    Features are made and counted where the texts are. The sample, without the features
+    that are too rare, is learnt in one task, in an order that hashes of the ids give.
     """
-    spark = documents.sparkSession
     chosen = (labels.filter(F.col(label).isNotNull() & F.col(doc_id).isNotNull())
               .groupBy(F.col(doc_id).alias("_id")).agg(F.max(label).cast("int").alias("_label"))
+              .join(documents.select(F.col(doc_id).alias("_id")), "_id", "left_semi")
               .orderBy(F.xxhash64("_id"), "_id").limit(max_rows))
-    shards = max(1, -(-chosen.count() // SHARD_ROWS))
     rows = (documents.select(F.col(doc_id).alias("_key"), F.col(text).alias("_text"))
             .join(F.broadcast(chosen), F.col("_key") == F.col("_id"))
-            .select(F.pmod(F.xxhash64("_id"), F.lit(shards)).alias("shard"),
-                    F.xxhash64("_id", F.lit(1)).alias("turn"), "_label",
+            .select(F.xxhash64("_id", F.lit(1)).alias("turn"), F.col("_label").alias("label"),
                     _feature_column(bits)("_text").alias("at")))
+    rows = keep(rows, "toxic-sample")
+    common = np.zeros(1 << bits, bool)
+    common[_frequent(rows, bits)] = True
+
+    def thinned(batches):
+        for batch in batches:
+            at = [np.frombuffer(b, np.uint32) for b in batch.column(2).to_pylist()]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), batch.column(1), pa.array([a[common[a]].tobytes() for a in at], pa.binary())],
+                ["turn", "label", "at"])
 
     def learn(table: pa.Table) -> pa.Table:
-        table = table.sort_by([("turn", "ascending")])
+        table = table.sort_by([("turn", "ascending"), ("at", "ascending")])
         model = Ftrl(bits)
         at = [np.frombuffer(b, np.uint32) for b in table.column("at").to_pylist()]
-        y = table.column("_label").to_pylist()
+        y = table.column("label").to_pylist()
         if y:
             share = min(max(float(np.mean(y)), 1e-3), 1 - 1e-3)
             model.bias = float(np.log(share / (1 - share)))
         if 0 < sum(y) < len(y):
-            seen = np.zeros(1 << bits, np.int32)
-            for a in at:
-                seen[a] += 1
-            at = [a[seen[a] >= LEAST_TEXTS] for a in at]
             for _ in range(epochs):
                 for a, b in zip(at, y):
                     model.learn(a, b)
@@ -161,15 +164,28 @@ def fit(documents: DataFrame, labels: DataFrame, *, doc_id: str = "doc_id", text
             "place": pa.array(np.append(places, -1), pa.int64()),
             "weight": pa.array(np.append(w[places], model.bias))})
 
-    parts = (rows.groupBy("shard").applyInArrow(learn, "place bigint, weight double")
-             .groupBy("place").agg(F.sum("weight").alias("weight"), F.count("*").alias("n")))
-    learnt = {r["place"]: r for r in parts.collect()}
-    if not learnt:
+    learnt = (rows.mapInArrow(lean(thinned), "turn bigint, label int, at binary")
+              .groupBy(F.lit(0).alias("all")).applyInArrow(learn, "place bigint, weight double").toArrow())
+    if not learnt.num_rows:
         return Model(np.empty(0, np.int64), np.empty(0), 0.0, bits)
-    n = learnt[-1]["n"]
-    kept = {p: r["weight"] / n for p, r in learnt.items() if p >= 0 and 2 * r["n"] > n}
-    return Model(np.array(list(kept), np.int64), np.array(list(kept.values()), float),
-                 learnt[-1]["weight"] / n, bits)
+    places, weights = (learnt.column(c).to_numpy() for c in ("place", "weight"))
+    kept = places >= 0
+    return Model(places[kept], weights[kept], float(weights[~kept][0]), bits)
+
+
+def _frequent(rows: DataFrame, bits: int) -> np.ndarray:
+    """Places of the features that enough texts have: at most ``2**bits`` numbers."""
+    def count(batches):
+        seen = np.zeros(1 << bits, np.int64)
+        for batch in batches:
+            for b in batch.column(0).to_pylist():
+                seen[np.frombuffer(b, np.uint32)] += 1
+        places = np.flatnonzero(seen)
+        yield pa.RecordBatch.from_arrays([pa.array(places), pa.array(seen[places])], ["place", "n"])
+
+    counted = (rows.select("at").mapInArrow(lean(count), "place bigint, n bigint")
+               .groupBy("place").agg(F.sum("n").alias("n")).filter(F.col("n") >= LEAST_TEXTS))
+    return counted.select("place").toArrow().column("place").to_numpy()
 
 
 def _feature_column(bits: int):
