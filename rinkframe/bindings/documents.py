@@ -13,18 +13,22 @@ from rinkframe.sources import feeds
 from rinkframe.specs import STANDINGS
 
 
-def documents(rows: DataFrame, feed: str, key: str, day: str, body: str) -> DataFrame:
-    """Documents whose JSON text is built from each row by a SQL struct.
+def texts(rows: DataFrame, key: str, day: str, body: str) -> DataFrame:
+    """Documents as JSON text, built from each row by a SQL struct.
 
     The rows are spread by key first, as reading JSON is dear and a small table is
     one split.
     """
     spread = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     rows = rows.repartition(spread, F.expr(key))
-    texts = rows.selectExpr(
+    return rows.selectExpr(
         f"cast({key} AS string) AS request_key", f"cast({day} AS date) AS feed_date",
         f"to_json({body}) AS payload")
-    return feeds.parse_documents(texts, feed)
+
+
+def documents(rows: DataFrame, feed: str, key: str, day: str, body: str) -> DataFrame:
+    """The same documents, parsed."""
+    return feeds.parse_documents(texts(rows, key, day, body), feed)
 
 
 def _plain(df: DataFrame) -> DataFrame:
@@ -56,13 +60,17 @@ def score_documents(view) -> DataFrame:
                      f"struct(array({first}, {second}) AS games)")
 
 
-def landing_documents(orders: DataFrame) -> DataFrame:
+def landing_texts(orders: DataFrame, day: str = "o_orderdate") -> DataFrame:
     outcome = """, named_struct('lastPeriodType', CASE substr(o_orderpriority, 1, 1)
       WHEN '1' THEN 'REG' WHEN '2' THEN 'OT' WHEN '3' THEN 'SO' WHEN '4' THEN '' END)
       AS gameOutcome"""
     body = _GAME.format(id="o_orderkey", season=_SEASON, kind="o_orderkey % 5", date=_DATE,
                         more=outcome)
-    return documents(orders, "landing", "o_orderkey", "o_orderdate", body)
+    return texts(orders, "o_orderkey", day, body)
+
+
+def landing_documents(orders: DataFrame) -> DataFrame:
+    return feeds.parse_documents(landing_texts(orders), "landing")
 
 
 _GAME_COLUMNS_SQL = """
@@ -193,7 +201,7 @@ def standings(view):
     return _plain(flatten.standings(docs))
 
 
-def player_documents(view) -> DataFrame:
+def player_texts(view) -> DataFrame:
     """A document per customer with totals of two seasons; goals differ by nation."""
     total = """struct({season} AS season, '{league}' AS leagueAbbrev, {kind} AS gameTypeId,
         {goals} AS goals, c_nationkey AS assists)"""
@@ -212,10 +220,14 @@ def player_documents(view) -> DataFrame:
           AS birthDate,
         'CAN' AS birthCountry, 60 + c_nationkey AS heightInInches,
         array({totals}) AS seasonTotals)"""
-    return documents(view("customer"), "player", "c_custkey", "NULL", body)
+    return texts(view("customer"), "c_custkey", "NULL", body)
 
 
-@query("prj12_players", """
+def player_documents(view) -> DataFrame:
+    return feeds.parse_documents(player_texts(view), "player")
+
+
+PLAYERS_SQL = """
 SELECT *, CASE WHEN first_name IS NOT NULL AND last_name <> '' THEN first_name || ' ' || last_name
     WHEN first_name IS NOT NULL THEN first_name WHEN last_name <> '' THEN last_name END AS full_name
 FROM (
@@ -228,7 +240,10 @@ FROM (
       AS birth_date,
     'CAN' AS birth_country, CAST(60 + c_nationkey AS BIGINT) AS height_inches,
     NULL::BIGINT AS weight_pounds, NULL::VARCHAR AS headshot_url
-  FROM customer)""")
+  FROM customer)"""
+
+
+@query("prj12_players", PLAYERS_SQL)
 def players(view):
     return _plain(flatten.players(player_documents(view)))
 

@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from rinkframe.operators import discovery, flatten
 from rinkframe.sinks import tables as sink
 from rinkframe.sources import feeds
+from rinkframe.sources.zones import Archive, zone_of
 from rinkframe.specs import PLAYERS
 
 
@@ -33,13 +34,17 @@ def player_rows(documents: DataFrame, ids: DataFrame) -> DataFrame:
 
 def refresh_players(
     spark: SparkSession,
-    landing: str,
+    landing: str | Archive,
     players_table: str,
     plays_table: str | None = None,
     ids: str | None = None,
 ) -> int:
-    """Upsert players from their documents; returns the number of rows."""
+    """Upsert players from their documents; returns the number of rows.
+
+    Of an archive only the buckets of the wanted ids are read.
+    """
     sink.create_if_missing(spark, players_table, PLAYERS)
     asked = wanted_ids(spark, players_table, plays_table, ids)
-    rows = player_rows(feeds.read_feed(spark, landing, "player"), asked)
+    keys = asked.select(F.col("player_id").cast("string").alias("request_key"))
+    rows = player_rows(zone_of(spark, landing).of("player", keys), asked)
     return sink.upsert(rows, players_table, PLAYERS, ["player_id"])

@@ -12,7 +12,8 @@ from rinkframe.operators import chunks
 from rinkframe.plans import chunk as chunk_plan
 from rinkframe.session import Stage
 from rinkframe.sinks import runlog, tables as sink
-from rinkframe.sources import feeds, tables as stored
+from rinkframe.sources import tables as stored
+from rinkframe.sources.zones import Archive, zone_of
 from rinkframe.specs import CHUNK_TABLES
 
 log = logging.getLogger(__name__)
@@ -55,10 +56,11 @@ def planned_chunks(spark: SparkSession, start: str, end: str, options: SyncOptio
 
 
 def sync(
-    spark: SparkSession, landing: str, start: str, end: str, options: SyncOptions = SyncOptions()
+    spark: SparkSession, landing: str | Archive, start: str, end: str, options: SyncOptions = SyncOptions()
 ) -> list[dict[str, int]]:
     """Build the tables of every chunk of ``[start, end]``; rows written per chunk.
 
+    ``landing`` is the folder of a landing zone or an archive of documents.
     A failed chunk, one with a day that did not land included, is logged and raises;
     with ``resume`` the next sync takes it up again. The driver holds the list of chunks
     only; all games of a chunk are one set of jobs.
@@ -70,7 +72,7 @@ def sync(
 
 
 def sync_chunk(
-    spark: SparkSession, landing: str, start: date, end: date, options: SyncOptions
+    spark: SparkSession, landing: str | Archive, start: date, end: date, options: SyncOptions
 ) -> dict[str, int]:
     runs = options.table("_ingest_runs")
     try:
@@ -87,7 +89,7 @@ def sync_chunk(
 def _write_chunk(spark, landing, start, end, options) -> dict[str, int]:
     with Stage(spark) as stage:
         docs = {
-            feed: stage.keep(feeds.read_feed(spark, landing, feed, str(start), str(end)), feed)
+            feed: stage.keep(zone_of(spark, landing).days(feed, str(start), str(end)), feed)
             for feed in chunk_plan.needed_feeds(options.tables)
         }
         fatal = chunk_plan.fatal_documents(docs, options.tables).take(1)
@@ -112,7 +114,7 @@ def _write_chunk(spark, landing, start, end, options) -> dict[str, int]:
 
 
 def complete_games(
-    spark: SparkSession, landing: str, games: DataFrame, options: SyncOptions
+    spark: SparkSession, landing: str | Archive, games: DataFrame, options: SyncOptions
 ) -> dict[str, int]:
     """Build some games from their documents and swap their rows into the tables.
 
@@ -126,9 +128,8 @@ def complete_games(
         asked = [(str(r.feed_date), str(r.game_id)) for r in games.collect()]
         days = sorted({day for day, _ in asked})
         docs = {
-            feed: stage.keep(feeds.read_feed(
-                spark, landing, feed,
-                named=[(d, d) for d in days] if feed == "score" else asked), feed)
+            feed: stage.keep(zone_of(spark, landing).named(
+                feed, [(d, d) for d in days] if feed == "score" else asked), feed)
             for feed in chunk_plan.needed_feeds(options.tables) if feed != "standings"
         }
         plan = chunk_plan.plan_chunk(

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from rinkframe.functions import clock
 from rinkframe.operators import checks, flatten, reconcile
-from rinkframe.sources import feeds
+from rinkframe.sources.zones import Archive, one_key, zone_of
 
 
 def verify_internal(
@@ -28,20 +28,22 @@ def verify_team_season(
 
 
 def verify_player_season(
-    spark: SparkSession, plays: str, landing: str, season: int, **options
+    spark: SparkSession, plays: str, landing: str | Archive, season: int, **options
 ) -> DataFrame:
     """Goals of a season against the totals in the player documents."""
     goals = reconcile.scorer_goals(spark.table(plays).where(F.col("season") == season))
-    documents = feeds.read_feed(spark, landing, "player")
+    documents = zone_of(spark, landing).days("player")
     official = flatten.season_totals(documents, clock.season_code(F.lit(season)))
     return reconcile.player_season(goals, official, **options)
 
 
 def verify_game_boxscore(
-    spark: SparkSession, plays: str, landing: str, game_id: int
+    spark: SparkSession, plays: str, landing: str | Archive, game_id: int
 ) -> DataFrame:
-    """Goals of one game against its boxscore document."""
+    """Goals of one game against its boxscore document.
+
+    In an archive the game's day is looked up, and only that day is opened.
+    """
     goals = reconcile.scorer_goals(spark.table(plays).where(F.col("game_id") == game_id))
-    documents = feeds.read_feed(spark, landing, "boxscore").where(
-        F.col("request_key") == str(game_id))
+    documents = zone_of(spark, landing).of("boxscore", one_key(spark, game_id))
     return reconcile.game_boxscore(goals, flatten.boxscore_players(documents))

@@ -174,6 +174,11 @@ def _swap_buckets(new: DataFrame, table: str, kept) -> None:
 
 
 def upsert(df: DataFrame, table: str, spec: TableSpec, keys: list[str]) -> int:
+    """``upsert_rows`` of a frame brought into the form of a spec."""
+    return upsert_rows(conform(df, spec), table, keys)
+
+
+def upsert_rows(df: DataFrame, table: str, keys: list[str]) -> int:
     """Overwrite rows with the same key, add the others; returns the rows of ``df``.
 
     Every column is overwritten. Two source rows with one key are an error. The source is
@@ -187,7 +192,7 @@ def upsert(df: DataFrame, table: str, spec: TableSpec, keys: list[str]) -> int:
     swap.settle(spark, table)
     with Stage(spark) as stage:
         source = stage.keep(
-            conform(df, spec).withColumn(BUCKET, bucket_of([F.col(k) for k in keys], buckets)), "source")
+            df.withColumn(BUCKET, bucket_of([F.col(k) for k in keys], buckets)), "source")
         groups = source.groupBy(*keys).count().agg(
             F.coalesce(F.sum("count"), F.lit(0)).alias("rows"),
             F.count_if(F.col("count") > 1).alias("repeated"),
@@ -199,6 +204,29 @@ def upsert(df: DataFrame, table: str, spec: TableSpec, keys: list[str]) -> int:
         return groups["rows"]
 
 
+def add_missing(df: DataFrame, table: str) -> int:
+    """Add the distinct rows of ``df`` that a table dealt by a key lacks; returns how many.
+
+    Only buckets that get a row are rewritten. Rows with a NULL are always added.
+    """
+    spark = df.sparkSession
+    dealt, buckets = _dealt_by(spark, table)
+    swap.settle(spark, table)
+    with Stage(spark) as stage:
+        source = stage.keep(df.distinct().withColumn(
+            BUCKET, bucket_of([F.col(k) for k in dealt], buckets)), "source")
+        # At most one row per bucket.
+        touched = [r[0] for r in source.select(BUCKET).distinct().collect()]
+        old = spark.table(table).where(F.col(BUCKET).isin(touched))
+        seen = Observation(f"rows-{uuid.uuid4().hex}")
+        new = stage.keep(source.join(old, source.columns, "left_anti")
+                         .observe(seen, F.count("*").alias("rows")), "new")
+        rows = seen.get["rows"]
+        if rows:
+            _swap_buckets(new, table, lambda old: old)
+        return rows
+
+
 def replace_by_key(df: DataFrame, table: str, key: dict[str, str]) -> int:
     """Replace the rows of one key by ``df``; returns its rows.
 

@@ -190,7 +190,7 @@ def parse_documents(texts: DataFrame, feed: str, text: str = "payload") -> DataF
     """Documents held as JSON text in a column.
 
     ``texts`` has ``request_key``, ``feed_date`` and the text; other columns are
-    dropped.
+    dropped. A null or blank text is a broken document.
     """
     schema = feed_schema(feed)
     declared = T.StructType(list(_as_text(schema))).add(_BROKEN, T.StringType())
@@ -198,11 +198,12 @@ def parse_documents(texts: DataFrame, feed: str, text: str = "payload") -> DataF
         F.col(text), declared,
         {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": _BROKEN},
     )
-    return texts.select("request_key", "feed_date", parsed.alias("doc")).select(
+    blank = F.coalesce(F.trim(F.col(text)) == "", F.lit(True))
+    return texts.select("request_key", "feed_date", parsed.alias("doc"), blank.alias("blank")).select(
         "request_key",
         "feed_date",
         _document(schema, "doc.").alias("doc"),
-        _broken(schema.names, "doc.").alias("is_broken"),
+        (F.col("blank") | _broken(schema.names, "doc.")).alias("is_broken"),
     )
 
 
