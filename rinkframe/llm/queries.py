@@ -45,11 +45,12 @@ WITH numbered AS (
     unnest(range(len(string_split(text, chr(10))))) AS spot
   FROM documents
 ), firsts AS (
-  SELECT line, length(line) AS n, min((doc_id, spot)) AS head FROM numbered WHERE length(line) >= 30 GROUP BY line
+  SELECT line, length(line) AS n, min((doc_id, spot)) AS head FROM numbered
+  WHERE length(line) >= 30 OR regexp_matches(line, '[^\s\x0B]') GROUP BY line
 ), near AS (
   SELECT DISTINCT CASE WHEN a.head < b.head THEN b.line ELSE a.line END AS line
   FROM firsts a JOIN firsts b ON a.n BETWEEN b.n - 2 AND b.n AND a.line <> b.line AND (a.n < b.n OR a.line < b.line)
-  WHERE levenshtein(a.line, b.line) <= 2
+  WHERE a.n >= 15 AND levenshtein(a.line, b.line) <= least(2, a.n // 15)
 ), judged AS (
   SELECT n.doc_id, n.spot, n.line, f.line IS NOT NULL AND ((n.doc_id, n.spot) <> f.head OR r.line IS NOT NULL) AS gone
   FROM numbered n LEFT JOIN firsts f ON n.line = f.line LEFT JOIN near r ON n.line = r.line
@@ -62,8 +63,9 @@ FROM documents d LEFT JOIN judged j ON d.doc_id = j.doc_id GROUP BY d.doc_id
 
 @query("op2_lines", OP2_SQL)
 def op2_lines(spark, table):
-    """All documents without lines that stand, or nearly stand, earlier."""
-    out = linededup.dedup_lines(table("documents").select("doc_id", "text"))
+    """All documents without lines that stand, or nearly stand, earlier; every line that is
+    not blank takes part, as in the pipeline."""
+    out = linededup.dedup_lines(table("documents").select("doc_id", "text"), least_chars=1)
     return out.select("doc_id", F.col("lines.total").alias("n_lines"),
                       F.col("lines.removed").alias("n_removed"), F.sha2("text", 256).alias("kept_sha256"))
 
