@@ -7,11 +7,27 @@ from pyspark.sql import Column, DataFrame, functions as F, types as T
 from rinkframe.specs import TableSpec
 
 
+# Every text that casts to a whole number, and every one that casts to a decimal, has
+# this form. A cast that fails raises inside Spark, with a stack trace per value, so
+# texts are looked at first.
+_WHOLE_FORM = r"^[\x00-\x20\x7f]*[+-]?[0-9]+[\x00-\x20\x7f]*\z"
+_DECIMAL_FORM = r"^[\x00-\x20\x7f]*[+-]?[\p{Nd}.]+([eE][+-]?\p{Nd}+)?[\x00-\x20\x7f]*\z"
+
+
+def _has_form(value: Column, form: str) -> Column:
+    return (F.typeof(value) != "string") | value.cast("string").rlike(form)
+
+
+def whole_text(value: Column, target: str = "bigint") -> Column:
+    """Whole number of text without a fraction; else NULL."""
+    return F.when(_has_form(value, _WHOLE_FORM), value.try_cast(target))
+
+
 def whole_number(value: Column, target: str = "bigint") -> Column:
     """Whole number of text or a number: ``12``, ``"12"`` and ``12.0``; else NULL."""
     exact = value.try_cast("decimal(38,6)")
-    return F.coalesce(
-        value.try_cast(target), F.when(exact == F.floor(exact), exact).try_cast(target))
+    return whole_text(value, target).when(
+        _has_form(value, _DECIMAL_FORM), F.when(exact == F.floor(exact), exact).try_cast(target))
 
 
 def to_type(name: str, have: T.DataType | None, want: T.DataType) -> str:
@@ -20,7 +36,12 @@ def to_type(name: str, have: T.DataType | None, want: T.DataType) -> str:
     if not isinstance(want, T.ArrayType):
         if have is None:
             return f"cast(NULL AS {target})"
-        return f"`{name}`" if have == want else f"try_cast(`{name}` AS {target})"
+        if have == want:
+            return f"`{name}`"
+        cast = f"try_cast(`{name}` AS {target})"
+        if isinstance(have, T.StringType) and isinstance(want, T.IntegralType):
+            return f"CASE WHEN `{name}` RLIKE r'{_WHOLE_FORM}' THEN {cast} END"
+        return cast
     if not isinstance(have, T.ArrayType):
         return f"cast(array() AS {target})"
     present = f"filter(coalesce(`{name}`, array()), x -> x IS NOT NULL)"
@@ -48,8 +69,8 @@ def save_counts(raw: Column, saves: Column, shots: Column) -> tuple[Column, Colu
     text = F.try_variant_get(raw, "$", "string")
     is_text = F.schema_of_variant(raw) == "STRING"
     is_pair = F.coalesce(is_text & text.contains("/"), F.lit(False))
-    first = F.split_part(text, F.lit("/"), F.lit(1)).try_cast("bigint")
-    second = F.split_part(text, F.lit("/"), F.lit(2)).try_cast("bigint")
+    first = whole_text(F.split_part(text, F.lit("/"), F.lit(1)))
+    second = whole_text(F.split_part(text, F.lit("/"), F.lit(2)))
     saves_out = F.when(is_pair, F.coalesce(saves, first)).otherwise(saves)
     number = F.when(~is_text, F.try_variant_get(raw, "$", "double").cast("bigint"))
     shots_out = F.coalesce(

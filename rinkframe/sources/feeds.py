@@ -118,6 +118,15 @@ def _document(schema: T.StructType, prefix: str) -> Column:
     return F.struct(*(_typed(F.col(f"{prefix}`{f.name}`"), f.dataType).alias(f.name) for f in schema))
 
 
+def _once(value: Column) -> Column:
+    """A value behind a row of its own, so that steps that read it often find it computed.
+
+    Without it the optimizer copies a struct's expressions to every place that reads a
+    field, and a list of many fields is typed anew for each.
+    """
+    return F.explode(F.array(value))
+
+
 def _broken(fields: list[str], prefix: str) -> Column:
     """The reader kept the text, and not a single declared field could be read."""
     nothing = F.col(f"{prefix}`{_BROKEN}`").isNotNull()
@@ -181,9 +190,11 @@ def read_feed(
     return docs.select(
         key.alias("request_key"),
         (F.col("feed_date") if by_date else F.lit(None).cast("date")).alias("feed_date"),
-        _document(schema, "").alias("doc"),
-        _broken(schema.names, "").alias("is_broken"),
-    )
+        _once(F.struct(
+            _document(schema, "").alias("doc"),
+            _broken(schema.names, "").alias("is_broken"),
+        )).alias("read"),
+    ).select("request_key", "feed_date", "read.doc", "read.is_broken")
 
 
 def parse_documents(texts: DataFrame, feed: str, text: str = "payload") -> DataFrame:
@@ -193,18 +204,32 @@ def parse_documents(texts: DataFrame, feed: str, text: str = "payload") -> DataF
     dropped. A null or blank text is a broken document.
     """
     schema = feed_schema(feed)
-    declared = T.StructType(list(_as_text(schema))).add(_BROKEN, T.StringType())
-    parsed = F.from_json(
-        F.col(text), declared,
-        {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": _BROKEN},
-    )
+
+    def parsed(fields) -> Column:
+        declared = T.StructType(list(fields)).add(_BROKEN, T.StringType())
+        return F.from_json(
+            F.col(text), declared,
+            {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": _BROKEN},
+        )
+
     blank = F.coalesce(F.trim(F.col(text)) == "", F.lit(True))
-    return texts.select("request_key", "feed_date", parsed.alias("doc"), blank.alias("blank")).select(
+    # Most documents fit the declared types as they stand; the others are read as text.
+    exact = texts.select("request_key", "feed_date", text, parsed(schema).alias("exact"))
+    fits = F.col(f"exact.`{_BROKEN}`").isNull()
+    both = exact.select(
+        "request_key", "feed_date", "exact", blank.alias("blank"), fits.alias("fits"),
+        F.when(~fits, parsed(_as_text(schema))).alias("loose"))
+    doc = F.struct(*(
+        F.when(F.col("fits"), F.col(f"exact.`{f.name}`"))
+        .otherwise(_typed(F.col(f"loose.`{f.name}`"), f.dataType)).alias(f.name) for f in schema))
+    return both.select(
         "request_key",
         "feed_date",
-        _document(schema, "doc.").alias("doc"),
-        (F.col("blank") | _broken(schema.names, "doc.")).alias("is_broken"),
-    )
+        _once(F.struct(
+            doc.alias("doc"),
+            (F.col("blank") | _broken(schema.names, "loose.")).alias("is_broken"),
+        )).alias("read"),
+    ).select("request_key", "feed_date", "read.doc", "read.is_broken")
 
 
 def dates_between(start: Column, end: Column) -> Column:
