@@ -7,27 +7,26 @@ from pyspark.sql import Column, functions as F
 PERIOD_SECONDS = 1200
 
 
-def _parts(text: Column) -> tuple[Column, Column, Column]:
-    trimmed = F.trim(text)
-    left, right = F.substring_index(trimmed, ":", 1), F.substring_index(trimmed, ":", -1)
-    minutes, seconds = left.try_cast("bigint"), right.try_cast("bigint")
-    ok = (
-        (F.concat(left, F.lit(":"), right) == trimmed)
-        & (minutes >= 0)
-        & seconds.between(0, 59)
-    )
-    return minutes, seconds, F.coalesce(ok, F.lit(False))
+# Text of one clock: blanks may stand around either number.
+_BLANKS = r"[\x00-\x20\x7f]*"
+_CLOCK = (rf"^{_BLANKS}(\+?[0-9]+|-0+){_BLANKS}:"
+          rf"{_BLANKS}(\+?0*[0-5]?[0-9]|-0+){_BLANKS}\z")
+
+
+def _minutes(text: Column) -> Column:
+    return F.substring_index(text, ":", 1).try_cast("bigint")
 
 
 def clock_seconds(text: Column) -> Column:
     """Seconds of ``M:SS`` text; NULL for NULL, for text that is no clock and beyond 64 bits."""
-    minutes, seconds, ok = _parts(text)
-    return F.when(ok, F.try_add(F.try_multiply(minutes, F.lit(60)), seconds))
+    seconds = F.substring_index(text, ":", -1).try_cast("bigint")
+    return F.when(
+        text.rlike(_CLOCK), F.try_add(F.try_multiply(_minutes(text), F.lit(60)), seconds))
 
 
 def clock_is_bad(text: Column) -> Column:
     """True for text that is present but is no clock."""
-    return text.isNotNull() & ~_parts(text)[2]
+    return F.when(text.rlike(_CLOCK), _minutes(text).isNull()).otherwise(text.isNotNull())
 
 
 def abs_seconds(period: Column, seconds: Column, period_seconds: int = PERIOD_SECONDS) -> Column:

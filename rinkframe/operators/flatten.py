@@ -296,23 +296,34 @@ def shifts(documents: DataFrame) -> DataFrame:
     return coerce.conform(rows, SHIFTS)
 
 
+def _numbered_shifts(documents: DataFrame, *columns: Column) -> DataFrame:
+    """One row per raw shift with its typed parts, each worked out once."""
+    return documents.select(*columns, F.inline(F.transform(
+        F.col("doc.data"),
+        lambda s: F.struct(
+            *(v.alias("shift_" + k) for k, v in _shift_numbers(s).items() if k != "game_id"),
+            s["shiftNumber"].isNull().alias("shift_unnumbered"),
+        ),
+    )))
+
+
 def merge_shifts(documents: DataFrame) -> DataFrame:
     """Shifts used to find who was on the ice.
 
     Unreadable shifts are left out, as are those whose number is there but NULL;
     empty and inverted ones stay, as they count as shift data of their game. The game is the one the document was asked for.
     """
-    s = F.col("shift")
-    raw = documents.select(_key_as_id().alias("game_id"), F.explode("doc.data").alias("shift"))
-    n = _shift_numbers(s)
+    raw = _numbered_shifts(documents, _key_as_id().alias("game_id"))
+    period = F.col("shift_period")
     return raw.select(
         "game_id",
-        n["player_id"].alias("player_id"),
-        n["team_id"].alias("team_id"),
-        n["period"].alias("period"),
-        F.when(s["shiftNumber"].isNull(), 0).otherwise(n["shift_number"]).alias("shift_number"),
-        clock.abs_seconds(n["period"], n["start"]).alias("start_abs_seconds"),
-        clock.abs_seconds(n["period"], n["end"]).alias("end_abs_seconds"),
+        F.col("shift_player_id").alias("player_id"),
+        F.col("shift_team_id").alias("team_id"),
+        period.alias("period"),
+        F.when(F.col("shift_unnumbered"), 0).otherwise(F.col("shift_shift_number"))
+        .alias("shift_number"),
+        clock.abs_seconds(period, F.col("shift_start")).alias("start_abs_seconds"),
+        clock.abs_seconds(period, F.col("shift_end")).alias("end_abs_seconds"),
     ).where(
         (F.col("period") >= 1)
         & F.col("player_id").isNotNull()

@@ -1,10 +1,13 @@
 """Truth tables of the column expressions."""
 
+import contextlib
+import io
+
 import pytest
 from pyspark.sql import functions as F
 
 from rinkframe.functions import clock, codes, coerce
-from rinkframe.specs import GAMES, PLAYS, TABLES, ColumnSpec
+from rinkframe.specs import BOXSCORE, GAMES, PLAYS, TABLES, ColumnSpec
 
 
 def column(spark, values, expression, kind="string"):
@@ -55,6 +58,31 @@ def test_names_and_codes(spark):
     assert column(spark, [2024], clock.season_code, "long") == [20242025]
 
 
+def test_clock_forms_of_casts(spark):
+    good = {"\t1 : +07\x7f": 67, "-0:-00": 0, "2:0059": 179, "153722867280912930:07": 2**63 - 1}
+    bad = ["1:60", "1:0060", "-1:00", "1:+", "1.0:00", "1:00\u2028", "9" * 20 + ":00", "1:1e1"]
+    assert column(spark, [*good, *bad], clock.clock_seconds) == [*good.values(), *[None] * len(bad)]
+    assert column(spark, [*good, *bad], clock.clock_is_bad) == [False] * len(good) + [True] * len(bad)
+
+
+def test_whole_numbers_of_text_and_numbers(spark):
+    cases = {"12": 12, " +12\t": 12, "12.0": 12, "1.2e1": 12, ".0": 0, "\u0661": 1, "12.5": None,
+             "25/26": None, "nobody": None, "": None, "1e30": None, "9" * 20: None, "+": None}
+    assert column(spark, [*cases, None], coerce.whole_number) == [*cases.values(), None]
+    assert column(spark, ["7", "3000000000", "7.0"], lambda c: coerce.whole_number(c, "int")) == [7, None, 7]
+    assert column(spark, [2.5, 3.0, float("nan")], coerce.whole_number, "double") == [2, 3, None]
+
+
+def test_text_that_is_no_number_raises_nothing(spark):
+    """A failing cast costs a stack trace for each value, so it must not be reached."""
+    texts = spark.createDataFrame([("25/26",)], "x string")
+    for value in (coerce.whole_number(F.col("x")), F.expr(coerce.to_type(
+            "x", texts.schema["x"].dataType, BOXSCORE.columns[0].spark_type.__class__()))):
+        with contextlib.redirect_stdout(io.StringIO()) as plan:
+            texts.select(value).explain()
+        assert "RLIKE" in plan.getvalue().upper()
+
+
 def test_saves_and_shots(spark):
     cases = [  # raw, saves, shots -> saves, shots
         ('"19/22"', None, None, 19, 22), ("22", None, None, None, 22), ("22.9", None, None, None, 22),
