@@ -6,17 +6,19 @@ stretches around anchors that several documents share can repeat:
 
 1. documents are dealt into batches; each batch lists its anchors, by part of the
    hash range;
-2. each part finds the anchors of several documents and tells the batches;
+2. each part finds the anchors of several documents and marks them for the batches;
 3. each batch sends the distinct stretches around them, with the smallest doc_id;
-4. each part cuts its stretches into shards, sorts the suffixes of each shard
-   (Larsson-Sadakane refinement), finds equal strings from common prefixes of
-   neighbours (Kasai) and merges shards by binary search; every start learns the
-   smallest doc_id that has its string;
-5. each batch removes what stands in a smaller document.
-
-Batches and parts both grow with the square root of the input, so neither a task's
-memory nor the number of blocks between them grows in proportion. An anchor shared
-by very many batches is split: its strings are dealt by their own content.
+4. each part cuts its stretches into shards of whole anchors, sorts the suffixes of each
+   shard (Larsson-Sadakane refinement), finds equal strings from common prefixes of
+   neighbours (Kasai) and merges the shards of an anchor that fills several by binary
+   search; every start learns whether a smaller doc_id than the batch's has its string;
+5. each batch removes what stands in a smaller document, its own or another batch's.
+
+Batches and parts both grow with the square root of the input, so a task's memory
+does not grow in proportion, and a block between a batch and a part stays for at least
+``BLOCK_BYTES`` of text. Blocks are columns of numbers in one order on both sides, so
+what is told of an anchor is a mark and what is told of a start is a bit. An anchor
+shared by very many batches is split: its strings are dealt by their own content.
 
 Defined cases: a null text is empty; a text shorter than ``LENGTH`` bytes keeps all;
 rows of one doc_id never remove from each other; a null doc_id counts as the
@@ -29,19 +31,23 @@ import math
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rinkframe.llm.words import odd_numbers, pack5, unpack5, utf8
+from rinkframe.llm.words import odd_numbers, release, utf8
 
 LENGTH = 50
 GRAM = 24
 CHUNK_BITS = 18
-BATCH_BYTES = 2_000_000
+BATCH_BYTES = 4_000_000
+# A block between a batch and a part stands for so much text at least.
+BLOCK_BYTES = 1_000
+KEY_BITS = 31
 # Suffixes of so many bytes are sorted at once.
-SHARD_BYTES = 1 << 19
+SHARD_BYTES = 1 << 18
 # An anchor in more batches than this is split by content.
 HOT_BATCHES = 256
 NO_ID = 2**63 - 1
@@ -115,16 +121,69 @@ def _part(keys: np.ndarray, parts: int) -> np.ndarray:
     return ((keys >> np.uint64(32)) * np.uint64(parts) >> np.uint64(32)).astype(np.int64)
 
 
-def _slices(sorted_values: np.ndarray):
-    if len(sorted_values):
-        cuts = np.flatnonzero(sorted_values[1:] != sorted_values[:-1]) + 1
-        yield from zip(np.append(0, cuts).tolist(), np.append(cuts, len(sorted_values)).tolist())
+def _codes(keys: np.ndarray, parts: int) -> np.ndarray:
+    """What identifies an anchor: its part and the lower ``KEY_BITS`` bits of its hash."""
+    return ((_part(keys, parts).astype(np.uint64) << np.uint64(KEY_BITS))
+            | (keys & np.uint64((1 << KEY_BITS) - 1)))
 
 
 def _ids(column) -> np.ndarray:
     return column.combine_chunks().fill_null(NO_ID).to_numpy()
 
 
+def _rows(table: pa.Table) -> tuple[pa.Table, np.ndarray, list[bytes]]:
+    """The documents of a batch in an order that every step finds again."""
+    table = table.sort_by([("doc_id", "ascending"), ("text", "ascending")])
+    return table, _ids(table.column("doc_id")), list(utf8(table.column("text").combine_chunks()))
+
+
+# --- blocks ------------------------------------------------------------------
+
+def _flat(column, kind) -> tuple[np.ndarray, np.ndarray]:
+    """All numbers in a column of blocks, in a row, and how many each block holds."""
+    sizes = pc.binary_length(column).to_numpy() // np.dtype(kind).itemsize
+    return np.frombuffer(b"".join(c for c in column.to_pylist() if c), kind), sizes
+
+
+def _open(column) -> tuple[bytes, np.ndarray]:
+    """What compressed blocks hold, in a row, and the bytes of each."""
+    blocks = [zstandard.decompress(c) for c in column.to_pylist()]
+    return b"".join(blocks), np.array([len(b) for b in blocks], np.int64)
+
+
+def _blocks(values: np.ndarray, sizes: np.ndarray) -> pa.Array:
+    """Numbers in a row as blocks of so many each."""
+    ends = np.concatenate(([0], np.cumsum(sizes))) * values.itemsize
+    return pa.Array.from_buffers(pa.binary(), len(sizes), [
+        None, pa.py_buffer(ends.astype(np.int32)), pa.py_buffer(np.ascontiguousarray(values))])
+
+
+def _pressed(data: bytes, sizes: np.ndarray) -> pa.Array:
+    ends = np.cumsum(sizes)
+    return pa.array([zstandard.compress(data[a:b], 3) for a, b in zip((ends - sizes).tolist(), ends.tolist())],
+                    pa.binary())
+
+
+def _sums(values: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """Sums over consecutive groups of the given sizes, which may be 0."""
+    ends = np.cumsum(sizes)
+    total = np.concatenate(([0], np.cumsum(values, dtype=np.int64)))
+    return total[ends] - total[ends - sizes]
+
+
+def _ranges(begin: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """``begin, begin + 1, ...`` of each range, in a row."""
+    ends = np.cumsum(sizes)
+    return np.arange(ends[-1] if len(ends) else 0) + np.repeat(begin - ends + sizes, sizes)
+
+
+def _numbered(contents) -> tuple[np.ndarray, list[bytes]]:
+    """The number of each content, by first appearance, and the distinct contents."""
+    number: dict[bytes, int] = {}
+    which = np.array([number.setdefault(c, len(number)) for c in contents], np.int64)
+    return which, list(number)
+
+
 # --- suffix arrays -----------------------------------------------------------
 
 def suffix_array(text: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndarray]:
@@ -193,8 +252,8 @@ def common_prefixes(text: np.ndarray, order: np.ndarray, depth: int) -> np.ndarr
     permuted = np.maximum(length[base] - (np.arange(n) - base), 0)
     # A run of continued places longer than what was compared is compared again.
     short = np.flatnonzero(follows & (permuted < depth) & (length[base] >= 4 * depth))
-    for k in range(0, len(short), 65536):
-        i = short[k:k + 65536]
+    for k in range(0, len(short), 8192):
+        i = short[k:k + 8192]
         j = before[i]
         equal = padded[i[:, None] + np.arange(depth)] == padded[j[:, None] + np.arange(depth)]
         permuted[i] = np.where(equal.all(axis=1), depth, equal.argmin(axis=1))
@@ -264,203 +323,247 @@ def least_documents(stretches: list[bytes], docs: np.ndarray, length: int = LENG
 
 # --- the five steps ----------------------------------------------------------
 
-ANCHORS = "part bigint, batch bigint, keys binary, several binary"
-SHARED = "part bigint, batch bigint, keys binary, hot binary"
-STRETCHES = "part bigint, batch bigint, keys binary, hot binary, sizes binary, docs binary, body binary"
-ANSWERS = "part bigint, batch bigint, keys binary, hot binary, steady binary, least binary"
+ANCHORS = "part bigint, batch bigint, keys binary"
+MARKS = "part bigint, batch bigint, marks binary"
+STRETCHES = "part bigint, batch bigint, marks binary, keys binary, sizes binary, docs binary, body binary"
+ANSWERS = "part bigint, batch bigint, marks binary, told binary, mixed binary"
 SPANS = "doc_id bigint, n_bytes bigint, spans array<struct<start bigint, length bigint>>, kept binary"
+KINDS = {"bigint": pa.int64(), "binary": pa.binary()}
 
 
-def _frame(rows: list[tuple], columns: str) -> pa.Table:
+def _frame(columns: str, *values) -> pa.Table:
     fields = [c.split() for c in columns.split(", ")]
-    kinds = {"bigint": pa.int64(), "binary": pa.binary()}
-    return pa.table({name: pa.array([r[k] for r in rows], kinds[kind])
-                     for k, (name, kind) in enumerate(fields)})
+    values = values or [[]] * len(fields)
+    return pa.table({name: pa.array(v, KINDS[kind]) for (name, kind), v in zip(fields, values)})
 
 
 def _anchors(parts: int):
     def work(table: pa.Table) -> pa.Table:
-        ids = _ids(table.column("doc_id"))
-        text, _, _, keys = runs(list(utf8(table.column("text").combine_chunks())))
-        doc = ids[text]
-        turn = np.lexsort((doc, keys))
-        keys, doc = keys[turn], doc[turn]
-        first = np.concatenate(([True], keys[1:] != keys[:-1])) if len(keys) else np.empty(0, bool)
-        number = np.cumsum(first) - 1
-        several = np.zeros(number[-1] + 1 if len(number) else 0, np.uint8)
-        if len(keys):
-            several[number[1:][~first[1:] & (doc[1:] != doc[:-1])]] = 1
-        keys = keys[first]
-        part = _part(keys, parts)
-        batch = table.column("batch")[0].as_py()
-        return _frame([(int(part[a]), batch, pack5(keys[a:b]), several[a:b].tobytes())
-                       for a, b in _slices(part)], ANCHORS)
+        _, ids, texts = _rows(table)
+        text, _, _, keys = runs(texts)
+        if not len(keys):
+            return _frame(ANCHORS)
+        codes = _codes(keys, parts)
+        turn = np.argsort(codes)
+        codes, doc = codes[turn], ids[text[turn]]
+        first = np.flatnonzero(np.concatenate(([True], codes[1:] != codes[:-1])))
+        several = np.minimum.reduceat(doc, first) != np.maximum.reduceat(doc, first)
+        codes = codes[first]
+        part, sizes = np.unique(codes >> np.uint64(KEY_BITS), return_counts=True)
+        told = (codes << np.uint64(1)).astype(np.uint32) | several.astype(np.uint32)
+        batch = np.full(len(part), table.column("batch")[0].as_py())
+        return _frame(ANCHORS, part.astype(np.int64), batch, _blocks(told, sizes))
     return work
 
 
 def _shared(hot_batches: int):
     def work(table: pa.Table) -> pa.Table:
-        table = table.sort_by("batch")
-        blobs = [unpack5(b) for b in table.column("keys").to_pylist()]
-        keys = np.concatenate(blobs)
-        several = np.frombuffer(b"".join(table.column("several").to_pylist()), np.uint8)
-        _, which, counts = np.unique(keys, return_inverse=True, return_counts=True)
-        mark = (counts > 1) | (np.bincount(which, several, len(counts)) > 0)
-        hot = counts > hot_batches
-        part, rows, at = table.column("part")[0].as_py(), [], 0
-        for batch, blob in zip(table.column("batch").to_pylist(), blobs):
-            mine = which[at:at + len(blob)]
-            at += len(blob)
-            take = mark[mine]
-            if take.any():
-                rows.append((part, batch, pack5(blob[take]), hot[mine[take]].astype(np.uint8).tobytes()))
-        return _frame(rows, SHARED)
+        told, sizes = _flat(table.column("keys"), np.uint32)
+        _, which, counts = np.unique(told >> np.uint32(1), return_inverse=True, return_counts=True)
+        several = np.bincount(which, told & np.uint32(1), len(counts)) > 0
+        mark = np.where(counts > hot_batches, 2, 1) * ((counts > 1) | several)
+        return _frame(MARKS, table.column("part").combine_chunks(), table.column("batch").combine_chunks(),
+                      _pressed(mark[which].astype(np.uint8).tobytes(), sizes))
     return work
 
 
-def _codes(keys: np.ndarray, parts: int) -> np.ndarray:
-    """What identifies an anchor: its part and the lower 40 bits of its hash."""
-    return (_part(keys, parts).astype(np.uint64) << np.uint64(40)) | (keys & np.uint64(2**40 - 1))
-
-
-def _stretches(texts: list[bytes], codes: np.ndarray, hot: np.ndarray, parts: int):
-    """Occurrences (text, start, starts, number of stretch) and the distinct stretches.
-
-    Stretches are sorted by part and content; each has (part, content, anchor hash, hot).
-    """
+def _stretches(texts: list[bytes], marks: np.ndarray, parts: int):
+    """Occurrences of stretches around marked anchors, as (text, start, starts, number of
+    stretch), and the distinct stretches by part: part, lower bits of the hash, content."""
     text, start, count, keys = runs(texts)
-    turn = np.argsort(codes)
-    codes, hot = codes[turn], hot[turn]
-    mine = _codes(keys, parts)
-    at = np.minimum(np.searchsorted(codes, mine), max(len(codes) - 1, 0))
-    take = np.flatnonzero(codes[at] == mine) if len(codes) else np.empty(0, np.int64)
-    is_hot = hot[at[take]] if len(take) else np.empty(0, np.uint8)
-    home = _part(keys[take], parts).tolist()
-    seen: dict[tuple, list] = {}
-    for t, s, n, key, part, split in zip(
-            text[take].tolist(), start[take].tolist(), count[take].tolist(),
-            keys[take].tolist(), home, is_hot.tolist()):
-        if split:
-            for k in range(s, s + n):
-                string = texts[t][k:k + LENGTH]
-                part = int(_part(np.array([xxhash.xxh3_64_intdigest(string)], np.uint64), parts)[0])
-                seen.setdefault((part, string, key, 1), []).append((t, k, 1))
-        else:
-            seen.setdefault((part, texts[t][s:s + n + LENGTH - 1], key, 0), []).append((t, s, n))
-    distinct = sorted(seen)
-    return distinct, [seen[d] for d in distinct]
+    codes = _codes(keys, parts)
+    _, which = np.unique(codes, return_inverse=True)
+    mark = marks[which]
+    take = np.flatnonzero(mark == 1)
+    text_, start_, count_, codes_ = text[take], start[take], count[take], codes[take]
+    part = (codes_ >> np.uint64(KEY_BITS)).astype(np.int64)
+    contents = [texts[t][a:b] for t, a, b in zip(
+        text_.tolist(), start_.tolist(), (start_ + count_ + (LENGTH - 1)).tolist())]
+    hot = np.flatnonzero(mark == 2)
+    if len(hot):
+        split = np.repeat(hot, count[hot])
+        at = _ranges(start[hot], count[hot])
+        strings = [texts[t][a:a + LENGTH] for t, a in zip(text[split].tolist(), at.tolist())]
+        contents += strings
+        text_, start_ = np.append(text_, text[split]), np.append(start_, at)
+        count_, codes_ = np.append(count_, np.ones(len(at), np.int64)), np.append(codes_, codes[split])
+        part = np.append(part, _part(
+            np.array([xxhash.xxh3_64_intdigest(s) for s in strings], np.uint64), parts))
+    number, distinct = _numbered(contents)
+    sample = np.empty(len(distinct), np.int64)
+    sample[number] = np.arange(len(number))
+    # By part, then by anchor, so that like contents stand together.
+    turn = np.lexsort((codes_[sample], part[sample]))
+    place = np.empty(len(turn), np.int64)
+    place[turn] = np.arange(len(turn))
+    sample = sample[turn]
+    low = (codes_[sample] & np.uint64((1 << KEY_BITS) - 1)).astype(np.uint32)
+    return (text_, start_, count_, place[number]), (part[sample], low, [distinct[k] for k in turn.tolist()])
+
+
+def _least(number: np.ndarray, docs: np.ndarray, distinct: int) -> np.ndarray:
+    least = np.full(distinct, NO_ID)
+    np.minimum.at(least, number, docs)
+    return least
 
 
 def _send(parts: int):
-    def work(left: pa.Table, right: pa.Table) -> pa.Table:
+    def send(left: pa.Table, right: pa.Table) -> pa.Table:
         if not left.num_rows or not right.num_rows:
-            return _frame([], STRETCHES)
-        ids = _ids(left.column("doc_id"))
-        texts = list(utf8(left.column("text").combine_chunks()))
-        codes = np.concatenate([
-            unpack5(b) | np.uint64(p << 40)
-            for p, b in zip(right.column("part").to_pylist(), right.column("keys").to_pylist())])
-        hot = np.frombuffer(b"".join(right.column("hot").to_pylist()), np.uint8)
-        distinct, found = _stretches(texts, codes, hot, parts)
-        batch, rows = left.column("batch")[0].as_py(), []
-        for a, b in _slices(np.array([d[0] for d in distinct])):
-            some = distinct[a:b]
-            rows.append((
-                some[0][0], batch,
-                np.array([d[2] for d in some], np.uint64).tobytes(),
-                np.array([d[3] for d in some], np.uint8).tobytes(),
-                np.array([len(d[1]) for d in some], np.uint16).tobytes(),
-                np.array([min(int(ids[t]) for t, _, _ in f) for f in found[a:b]], np.int64).tobytes(),
-                zstandard.compress(b"".join(d[1] for d in some), 3)))
-        return _frame(rows, STRETCHES)
+            return _frame(STRETCHES)
+        _, ids, texts = _rows(left)
+        right = right.sort_by("part")
+        marks, _ = _open(right.column("marks"))
+        (text, _, _, number), (part, low, distinct) = _stretches(texts, np.frombuffer(marks, np.uint8), parts)
+        least = _least(number, ids[text], len(distinct))
+        sizes = np.array([len(d) for d in distinct], np.int64)
+        # Every block of marks goes along, and comes back with the answers.
+        mine = dict(zip(right.column("part").to_pylist(), right.column("marks").to_pylist()))
+        to = np.union1d(part, np.array(list(mine), np.int64))
+        counts = np.bincount(np.searchsorted(to, part), minlength=len(to))
+        ends = np.cumsum(counts)
+        # Bytes of one significance stand together, as most are alike.
+        docs = b"".join(least[a:b].view(np.uint8).reshape(-1, 8).T.tobytes()
+                        for a, b in zip((ends - counts).tolist(), ends.tolist()))
+        batch = np.full(len(to), left.column("batch")[0].as_py())
+        return _frame(STRETCHES, to, batch, [mine.get(p) for p in to.tolist()], _blocks(low, counts),
+                      _blocks(sizes.astype(np.uint8), counts), _pressed(docs, 8 * counts),
+                      _pressed(b"".join(distinct), _sums(sizes, counts)))
+
+    def work(left: pa.Table, right: pa.Table) -> pa.Table:
+        out = send(left, right)
+        release()
+        return out
     return work
 
 
-def _answer(table: pa.Table) -> pa.Table:
-    table = table.sort_by("batch")
-    number: dict[tuple, int] = {}
-    docs: list[int] = []
-    asked = []
-    for row in table.select(["keys", "hot", "sizes", "docs", "body"]).to_pylist():
-        body, at, mine = zstandard.decompress(row["body"]), 0, []
-        for key, size, doc in zip(
-                np.frombuffer(row["keys"], np.uint64).tolist(), np.frombuffer(row["sizes"], np.uint16).tolist(),
-                np.frombuffer(row["docs"], np.int64).tolist()):
-            what = (key, body[at:at + size])
-            at += size
-            k = number.get(what)
-            if k is None:
-                number[what] = k = len(docs)
-                docs.append(doc)
-            elif doc < docs[k]:
-                docs[k] = doc
-            mine.append(k)
-        asked.append(mine)
-    least = np.array(docs, np.int64)
-    _, which, counts = np.unique(np.array([w[0] for w in number], np.uint64),
-                                 return_inverse=True, return_counts=True)
+def earlier_starts(keys: np.ndarray, contents: list[bytes], docs: np.ndarray,
+                   length: int = LENGTH, shard_bytes: int = SHARD_BYTES) -> tuple[np.ndarray, np.ndarray]:
+    """For each stretch, whether a smaller doc_id than its own has the strings of none (0),
+    all (1) or some (2) of its starts, and a bit for each start of the last kind, in a row.
+
+    Equal strings stand in stretches of one key, so shards of whole keys share none; only
+    the shards of a key that fills several are merged.
+    """
+    number, distinct = _numbered(contents)
+    least = _least(number, docs, len(distinct))
+    key = np.empty(len(distinct), np.uint32)
+    key[number] = keys
+    _, which, counts = np.unique(key, return_inverse=True, return_counts=True)
     unclear = np.flatnonzero(counts[which] > 1)
-    content = [w[1] for w in number]
-    values: dict[int, np.ndarray] = dict(zip(
-        unclear.tolist(), least_documents([content[k] for k in unclear], least[unclear]) if len(unclear) else []))
-    rows = []
-    for row, mine in zip(table.select(["part", "batch", "keys", "hot"]).to_pylist(), asked):
-        steady, told = [], []
-        for k in mine:
-            v = values.get(k)
-            if v is None or (v == v[0]).all():
-                steady.append(1)
-                told.append(least[k:k + 1] if v is None else v[:1])
-            else:
-                steady.append(0)
-                told.append(v)
-        rows.append((row["part"], row["batch"], row["keys"], row["hot"],
-                     bytes(steady), np.concatenate(told).tobytes()))
-    return _frame(rows, ANSWERS)
+    unclear = unclear[np.argsort(which[unclear], kind="stable")]
+    starts = np.array([len(distinct[k]) - length + 1 for k in unclear.tolist()], np.int64)
+    begin = np.cumsum(starts) - starts
+    first = np.flatnonzero(np.diff(which[unclear], prepend=-1)).tolist()
+    cuts, size = [0], 0
+    for a, b in zip(first, [*first[1:], len(unclear)]):
+        more = int(starts[a:b].sum()) + length * (b - a)
+        if size and size + more > shard_bytes:
+            cuts.append(a)
+            size = 0
+        size += more
+    earliest = [np.empty(0, np.int64)]
+    for a, b in zip(cuts, [*cuts[1:], len(unclear)]):
+        if b > a:
+            earliest += least_documents(
+                [distinct[k] for k in unclear[a:b].tolist()], least[unclear[a:b]], length, shard_bytes)
+    earliest = np.concatenate(earliest)
+    told, mixed = (least[number] < docs).astype(np.uint8), [np.empty(0, np.uint8)]
+    place = np.full(len(distinct), -1)
+    place[unclear] = np.arange(len(unclear))
+    asked = np.flatnonzero(place[number] >= 0)
+    for k in range(0, len(asked), 1 << 14):
+        some = asked[k:k + (1 << 14)]
+        at = place[number[some]]
+        bits = earliest[_ranges(begin[at], starts[at])] < np.repeat(docs[some], starts[at])
+        n = _sums(bits, starts[at])
+        told[some] = np.where(n == 0, 0, np.where(n == starts[at], 1, 2))
+        mixed.append(bits[np.repeat(told[some] == 2, starts[at])].astype(np.uint8))
+    return told, np.concatenate(mixed)
+
+
+def _answered(table: pa.Table) -> pa.Table:
+    keys, counts = _flat(table.column("keys"), np.uint32)
+    sizes, _ = _flat(table.column("sizes"), np.uint8)
+    planes = [zstandard.decompress(b) for b in table.column("docs").to_pylist()]
+    docs = np.frombuffer(b"".join(
+        np.frombuffer(p, np.uint8).reshape(8, -1).T.tobytes() for p in planes), np.int64)
+    body, _ = _open(table.column("body"))
+    ends = np.cumsum(sizes, dtype=np.int64)
+    contents = [body[a:b] for a, b in zip((ends - sizes).tolist(), ends.tolist())]
+    told, mixed = earlier_starts(keys, contents, docs)
+    bits = (sizes.astype(np.int64) - LENGTH + 1) * (told == 2)
+    return _frame(ANSWERS, *(table.column(c).combine_chunks() for c in ("part", "batch", "marks")),
+                  _blocks(told, counts), _blocks(mixed, _sums(bits, counts)))
+
+
+def _answer(table: pa.Table) -> pa.Table:
+    out = _answered(table)
+    release()
+    return out
+
+
+def _cuts(texts: list[bytes], ids: np.ndarray, right: pa.Table, parts: int) -> tuple[np.ndarray, np.ndarray]:
+    """Begin and end of removed strings, in the texts joined with one byte between."""
+    sizes = np.array([len(t) for t in texts], np.int64)
+    offset = np.cumsum(sizes + 1) - sizes - 1
+    right = right.sort_by("part")
+    marks, _ = _open(right.filter(pc.is_valid(right.column("marks"))).column("marks"))
+    (text, start, count, number), (_, _, distinct) = _stretches(texts, np.frombuffer(marks, np.uint8), parts)
+    told, _ = _flat(right.column("told"), np.uint8)
+    mixed, _ = _flat(right.column("mixed"), np.uint8)
+    least = _least(number, ids[text], len(distinct))
+    told_here = told[number]
+    whole = (told_here == 1) | (least[number] < ids[text])
+    begin = offset[text] + start
+    starts = np.array([len(d) - LENGTH + 1 for d in distinct], np.int64) * (told == 2)
+    some = np.flatnonzero((told_here == 2) & ~whole)
+    one = _ranges((np.cumsum(starts) - starts)[number[some]], count[some])
+    single = _ranges(begin[some], count[some])[mixed[one] == 1]
+    return (np.append(begin[whole], single),
+            np.append((begin + count + (LENGTH - 1))[whole], single + LENGTH))
 
 
 def _remove(parts: int):
-    def work(left: pa.Table, right: pa.Table) -> pa.Table:
-        ids = _ids(left.column("doc_id")) if left.num_rows else []
-        texts = list(utf8(left.column("text").combine_chunks())) if left.num_rows else []
-        gone = [[] for _ in texts]
-        if left.num_rows and right.num_rows:
-            right = right.sort_by("part")
-            keys = np.frombuffer(b"".join(right.column("keys").to_pylist()), np.uint64)
-            hot = np.frombuffer(b"".join(right.column("hot").to_pylist()), np.uint8)
-            steady = b"".join(right.column("steady").to_pylist())
-            least = np.frombuffer(b"".join(right.column("least").to_pylist()), np.int64)
-            distinct, found = _stretches(texts, _codes(keys, parts), hot, parts)
-            at = 0
-            for where, same, what in zip(found, steady, distinct):
-                n = len(what[1]) - LENGTH + 1
-                told = least[at:at + 1] if same else least[at:at + n]
-                at += 1 if same else n
-                for t, s, count in where:
-                    if same:
-                        if told[0] < ids[t]:
-                            gone[t].append((s, s + count - 1 + LENGTH))
-                    else:
-                        gone[t] += [(s + k, s + k + LENGTH) for k in np.flatnonzero(told < ids[t]).tolist()]
-        spans, kept = [], []
-        for text, cuts in zip(texts, gone):
-            merged: list[list[int]] = []
-            for a, b in sorted(cuts):
-                if merged and a <= merged[-1][1]:
-                    merged[-1][1] = max(merged[-1][1], b)
-                else:
-                    merged.append([a, b])
-            ends = [0] + [x for m in merged for x in m] + [len(text)]
-            kept.append(b"".join(text[a:b] for a, b in zip(ends[::2], ends[1::2])))
-            spans.append([{"start": a, "length": b - a} for a, b in merged])
-        span = pa.struct([("start", pa.int64()), ("length", pa.int64())])
+    def remove(left: pa.Table, right: pa.Table) -> pa.Table:
+        left, ids, texts = _rows(left)
+        sizes = np.array([len(t) for t in texts], np.int64)
+        joined = np.frombuffer(b"\0".join([*texts, b""]), np.uint8)
+        cover = np.zeros(len(joined) + 1, np.int32)
+        if right.num_rows:
+            begin, end = _cuts(texts, ids, right, parts)
+            np.add.at(cover, begin, 1)
+            np.add.at(cover, end, -1)
+            np.cumsum(cover, out=cover)
+        gone = cover > 0
+        turns = np.flatnonzero(gone[1:] != gone[:-1]) + 1
+        if gone[0]:
+            turns = np.append(0, turns)
+        begin, length = turns[::2], turns[1::2] - turns[::2]
+        offset = np.cumsum(sizes + 1) - sizes - 1
+        stays = ~gone[:-1]
+        stays[offset + sizes] = False
+        text = np.searchsorted(offset, begin, "right") - 1
+        spans = pa.StructArray.from_arrays([pa.array(begin - offset[text]), pa.array(length)], ["start", "length"])
+        until = np.concatenate(([0], np.cumsum(np.bincount(text, minlength=len(texts))))).astype(np.int32)
         return pa.table({
-            "doc_id": left.column("doc_id") if left.num_rows else pa.array([], pa.int64()),
-            "n_bytes": pa.array([len(t) for t in texts], pa.int64()),
-            "spans": pa.array(spans, pa.list_(span)), "kept": pa.array(kept, pa.binary())})
+            "doc_id": left.column("doc_id"), "n_bytes": pa.array(sizes),
+            "spans": pa.ListArray.from_arrays(pa.array(until), spans),
+            "kept": _blocks(joined[stays], sizes - _sums(length, np.diff(until)))})
+
+    def work(left: pa.Table, right: pa.Table) -> pa.Table:
+        out = remove(left, right)
+        release()
+        return out
     return work
 
 
+def layout(total: int, batch_bytes: int = BATCH_BYTES) -> tuple[int, int]:
+    """Batches and parts for so many bytes of text."""
+    batches = max(1, math.ceil(total / max(batch_bytes, math.sqrt(total * BLOCK_BYTES))))
+    return batches, batches
+
+
 def remove_repeats(df: DataFrame, doc_id: str = "doc_id", text: str = "text",
                    batch_bytes: int = BATCH_BYTES, hot_batches: int = HOT_BATCHES) -> DataFrame:
     """``doc_id, n_bytes, spans, kept`` for every row: removed byte spans and what is left.
@@ -470,11 +573,10 @@ def remove_repeats(df: DataFrame, doc_id: str = "doc_id", text: str = "text",
     """
     source = df.select(F.col(doc_id).cast("bigint").alias("doc_id"), F.col(text).alias("text"))
     total = source.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    batches = max(1, math.ceil(total / max(batch_bytes, 20 * math.sqrt(total))))
-    parts = batches
+    batches, parts = layout(total, batch_bytes)
     base = source.select(F.pmod(F.xxhash64("doc_id"), F.lit(batches)).alias("batch"), "doc_id", "text")
     anchors = base.groupBy("batch").applyInArrow(_anchors(parts), ANCHORS)
-    shared = anchors.groupBy("part").applyInArrow(_shared(hot_batches), SHARED)
+    shared = anchors.groupBy("part").applyInArrow(_shared(hot_batches), MARKS)
     sent = base.groupBy("batch").cogroup(shared.groupBy("batch")).applyInArrow(_send(parts), STRETCHES)
     answers = sent.groupBy("part").applyInArrow(_answer, ANSWERS)
     return base.groupBy("batch").cogroup(answers.groupBy("batch")).applyInArrow(_remove(parts), SPANS)

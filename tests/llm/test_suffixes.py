@@ -84,3 +84,37 @@ def test_shards_are_merged():
     got = suffixes.least_documents(stretches, docs, shard_bytes=500)
     for s, told in zip(stretches, got):
         assert told.tolist() == [earliest[s[p:p + 50]] for p in range(len(s) - 49)]
+
+
+def test_blocks_between_batches_and_parts_stay_in_proportion():
+    for total in (10**7, 10**8, 10**9, 10**11, 10**13):
+        batches, parts = suffixes.layout(total)
+        assert batches * parts <= max(1, total / 1000) * 1.1
+    batches, parts = suffixes.layout(864_000_000)
+    assert batches * parts < 50_000  # 186,624 with batches of 2 MB
+
+
+def test_starts_learn_in_bits_over_shards_of_whole_keys():
+    rng = random.Random(10)
+    keys, contents = [], []
+    for key in range(6):
+        strings = ["".join(rng.choice("ab") for _ in range(70)).encode() for _ in range(3)]
+        for s in strings:
+            for _ in range(rng.randint(1, 4)):
+                a = rng.randint(0, 15)
+                contents.append(bytes([99 + key]) + s[a:] if rng.random() < 0.3 else s[a:])
+                keys.append(key)
+    docs = np.array([rng.randrange(20) for _ in keys])
+    earliest = {}
+    for key, s, d in zip(keys, contents, docs):
+        for p in range(len(s) - 49):
+            at = (key, s[p:p + 50])
+            earliest[at] = min(earliest.get(at, 1000), d)
+    for shard_bytes in (100, 400, 10**6):
+        told, mixed = suffixes.earlier_starts(np.array(keys, np.uint32), contents, docs, shard_bytes=shard_bytes)
+        mixed = mixed.tolist()
+        for key, s, d, t in zip(keys, contents, docs, told):
+            want = [int(earliest[key, s[p:p + 50]] < d) for p in range(len(s) - 49)]
+            got, mixed = (mixed[:len(want)], mixed[len(want):]) if t == 2 else ([t] * len(want), mixed)
+            assert got == want
+        assert not mixed
