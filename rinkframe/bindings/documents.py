@@ -26,9 +26,10 @@ def texts(rows: DataFrame, key: str, day: str, body: str) -> DataFrame:
         f"to_json({body}) AS payload")
 
 
-def documents(rows: DataFrame, feed: str, key: str, day: str, body: str) -> DataFrame:
+def documents(rows: DataFrame, feed: str, key: str, day: str, body: str,
+              items: tuple[str, ...] | None = None) -> DataFrame:
     """The same documents, parsed."""
-    return feeds.parse_documents(texts(rows, key, day, body), feed)
+    return feeds.parse_documents(texts(rows, key, day, body), feed, items=items)
 
 
 def _plain(df: DataFrame) -> DataFrame:
@@ -382,7 +383,7 @@ def game_boxscore(view):
     body = """struct(1L AS id, struct(struct(array(
           struct(l_suppkey AS playerId, 1L AS goals), struct(l_suppkey AS playerId, 700L AS goals))
         AS forwards) AS homeTeam) AS playerByGameStats)"""
-    docs = documents(lines, "boxscore", "l_orderkey", "l_shipdate", body)
+    docs = documents(lines, "boxscore", "l_orderkey", "l_shipdate", body, reconcile.BOXSCORE_ITEMS)
     return _words(reconcile.game_boxscore(goals, flatten.boxscore_players(docs)))
 
 

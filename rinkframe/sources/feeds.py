@@ -91,6 +91,22 @@ def feed_schema(feed: str) -> T.StructType:
     return T.StructType.fromDDL(_DDL[feed])
 
 
+def _with_items(kind: T.DataType, only: tuple[str, ...], inside: bool = False) -> T.DataType:
+    """A declared type whose list items keep, of their plain fields, those in ``only``.
+
+    Structs and lists all stay, with one plain field at least, so that a document is
+    read, typed or broken just as under the whole type.
+    """
+    if isinstance(kind, T.ArrayType):
+        return T.ArrayType(_with_items(kind.elementType, only, True))
+    if not isinstance(kind, T.StructType):
+        return kind
+    nested = (T.StructType, T.ArrayType)
+    kept = [f for f in kind if not inside or f.name in only or isinstance(f.dataType, nested)]
+    return T.StructType([
+        T.StructField(f.name, _with_items(f.dataType, only, inside)) for f in kept or kind[:1]])
+
+
 def _as_text(kind: T.DataType) -> T.DataType:
     """A declared type with its numbers read as text, in whatever form they stand."""
     if isinstance(kind, T.StructType):
@@ -197,13 +213,18 @@ def read_feed(
     ).select("request_key", "feed_date", "read.doc", "read.is_broken")
 
 
-def parse_documents(texts: DataFrame, feed: str, text: str = "payload") -> DataFrame:
+def parse_documents(
+    texts: DataFrame, feed: str, text: str = "payload", items: tuple[str, ...] | None = None,
+) -> DataFrame:
     """Documents held as JSON text in a column.
 
     ``texts`` has ``request_key``, ``feed_date`` and the text; other columns are
-    dropped. A null or blank text is a broken document.
+    dropped. A null or blank text is a broken document. ``items`` names the plain fields
+    of list items to read, for readers that need few of them; all without it.
     """
     schema = feed_schema(feed)
+    if items is not None:
+        schema = _with_items(schema, items)
 
     def parsed(fields) -> Column:
         declared = T.StructType(list(fields)).add(_BROKEN, T.StringType())

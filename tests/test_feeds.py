@@ -1,9 +1,13 @@
 """Documents as JSON text, read once and in any form of their numbers."""
 
 import contextlib
+import datetime
 import io
 import json
 
+from pyspark.sql import functions as F
+
+from rinkframe.bindings import documents
 from rinkframe.operators import flatten
 from rinkframe.sources import feeds
 
@@ -42,3 +46,44 @@ def test_a_document_is_typed_once_however_often_it_is_read(spark):
     physical = plan.getvalue().split("== Physical Plan ==")[1]
     assert physical.count("from_json") == 2
     assert physical.count("transform(") <= 6
+
+
+_ODD_BOXSCORES = [
+    '{"id": 1, "gameDate": "d", "playerByGameStats": {"homeTeam": {"forwards": [%s]}}}' % player for player in (
+        '{"playerId": 5, "goals": 2, "toi": "1:00"}', '{"playerId": "5", "goals": 2.0, "toi": {"a": 1}}',
+        '{"playerId": 5, "goals": 2, "assists": "x", "saveShotsAgainst": [1]}', '{"playerId": {"a": 1}, "goals": "y"}',
+        "7", "null", '{"goals": 1}, {"playerId": 5, "points": [1, 2], "goals": 3}', '{"playerId": 5, "goals": ')
+] + ['{"playerByGameStats": 5}', '{"playerByGameStats": {"homeTeam": {"forwards": 5, "goalies": [{"goals": 4}]}}}',
+     "[1]", "5", "no json", "", " ", "{}", '{"homeTeam": 5, "id": "x"}']
+
+
+def test_few_fields_of_items_are_read_as_under_the_whole_type(spark):
+    texts = spark.createDataFrame(
+        [(str(k), None, t) for k, t in enumerate([*_ODD_BOXSCORES, None])],
+        "request_key string, feed_date date, payload string")
+
+    def seen(docs):
+        players = flatten.boxscore_players(docs.withColumn("doc", F.col("doc").withField("id", F.col("request_key"))))
+        return (sorted(tuple(r) for r in docs.select("request_key", "is_broken", "doc.id", "doc.gameDate").collect()),
+                sorted(tuple(map(str, r)) for r in players.select(
+                    "game_id", "category", "place", F.col("player").isNull(), "player.playerId", "player.goals").collect()))
+
+    def by_key(found):
+        return [sorted(map(repr, rows)) for rows in found]
+
+    assert by_key(seen(feeds.parse_documents(texts, "boxscore", items=("playerId", "goals")))) == by_key(
+        seen(feeds.parse_documents(texts, "boxscore")))
+
+
+def test_the_check_of_a_game_reads_two_fields_of_its_players(spark):
+    lines = spark.createDataFrame(
+        [(1, 2, 3, 4, "A", datetime.date(2024, 1, 1))],
+        "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, l_returnflag string, l_shipdate date")
+    plan = documents.game_boxscore(lambda _name: lines)
+    assert [tuple(r)[:3] for r in plan.collect()] == [("game_boxscore.goals", 1, 1)]
+    whole = flatten.boxscore_players(feeds.parse_documents(_texts(spark, "{}"), "boxscore"))
+    for frame, all_read in ((whole.select("player"), True), (plan, False)):
+        with contextlib.redirect_stdout(io.StringIO()) as text:
+            frame.explain("extended")
+        read = text.getvalue().split("== Physical Plan ==")[1]
+        assert "from_json" in read and ("faceoffWinningPctg" in read) == all_read
