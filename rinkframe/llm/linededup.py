@@ -27,6 +27,14 @@ EDITS = 2
 LEAST_CHARS = 30
 # Key tables up to this number of rows (16 bytes each) are broadcast.
 MAX_BROADCAST = 500_000
+# Bytes of a character in UTF-32.
+WIDE = 4
+# From this length on, lines are cut as the next shorter multiple of the step is, so that lines
+# a few characters apart mostly have segments of one size and probe no others.
+STEP_FROM, STEP = 64, 16
+# Pieces that are looked for before the edit distance is computed.
+PIECES = 8
+PROBE = ("edits", "less", "part", "shift", "own", "again")
 # Bit of the lowest diagonal in the bit vectors of the edit distance.
 TOP = 40
 # Letters whose counts are compared before texts are fetched.
@@ -38,35 +46,21 @@ def _let(value: Column, use) -> Column:
     return F.get(F.transform(F.array(value), use), F.lit(0))
 
 
-def _segment(l: Column, i: int, edits: int) -> tuple[Column, Column]:
-    """Start (from 1) and length of segment ``i`` of a line of ``l`` characters."""
-    parts = edits + 1
-    short, longer = F.floor(l / parts).cast("int"), (l % parts).cast("int")
-    before_long = parts - longer
-    start = i * short + F.greatest(F.lit(i) - before_long, F.lit(0)) + 1
-    return start, short + F.when(F.lit(i) >= before_long, 1).otherwise(0)
+def _probes(edits: int) -> list[tuple[int, int, int, int, bool, bool]]:
+    """``edits, less, part, shift, own, again`` of a line's keys: its own segments, and the
+    places where a line shorter by ``less`` could have its segments. ``again``: a line shorter
+    by one less has the same key, if it has segments of the same size."""
+    def shifts(less, i):
+        return range(max(-i, less - (edits - i)), min(i, less + edits - i) + 1)
+    own = [(edits, 0, i, 0, True, False) for i in range(edits + 1)]
+    return own + [(edits, less, i, shift, False, less > 0 and (i == edits or shift in shifts(less - 1, i)))
+                  for less in range(edits + 1) for i in range(edits + 1)
+                  for shift in shifts(less, i) if less or shift]
 
 
-def _key(line: Column, l: Column, i: int, start: Column, size: Column) -> Column:
-    return F.xxhash64(l, F.lit(i), F.substr(line, start, size))
-
-
-def segment_keys(line: Column, edits: int = EDITS) -> Column:
-    """Own segments (``own`` true) and probed substrings of a line, as hashed keys."""
-    n, keys = F.length(line), []
-    for i in range(edits + 1):
-        start, size = _segment(n, i, edits)
-        keys.append(F.struct(_key(line, n, i, start, size).alias("key"), F.lit(True).alias("own")))
-    for less in range(edits + 1):
-        l = (n - less).cast("int")
-        for i in range(edits + 1):
-            start, size = _segment(l, i, edits)
-            right = edits - i
-            for shift in range(max(-i, less - right), min(i, less + right) + 1):
-                if less or shift:
-                    keys.append(F.struct(_key(line, l, i, start + shift, size).alias("key"),
-                                         F.lit(False).alias("own")))
-    return F.array(*keys)
+def _round(l: Column) -> Column:
+    """The length that the segments of a line of ``l`` characters are sized by."""
+    return F.when(l < STEP_FROM, l).otherwise(l - l % STEP)
 
 
 def _budget(n: Column, edits: int) -> Column:
@@ -74,18 +68,38 @@ def _budget(n: Column, edits: int) -> Column:
     return F.when(n >= LEAST_CHARS, edits).otherwise(F.floor(n * edits / LEAST_CHARS)).cast("int")
 
 
-def budgeted_keys(line: Column, edits: int, least: int) -> Column:
-    """Keys of a line under the budget of its length. A line just longer than where a
-    budget ends probes the shorter ones below with theirs."""
-    n, keys = F.length(line), segment_keys(line, edits)
-    if least >= LEAST_CHARS:
-        return keys
-    keys = F.when(n >= LEAST_CHARS, keys).otherwise(F.slice(keys, 1, 0))
-    for e in range(1, edits):
-        low, high = -(-LEAST_CHARS * e // edits), -(-LEAST_CHARS * (e + 1) // edits)
-        few = segment_keys(line, e)
-        keys = F.concat(keys, F.when((n >= low) & (n < high + e), few).otherwise(F.slice(few, 1, 0)))
-    return keys
+def _budgeted_probes(n: Column, edits: int, least: int) -> Column:
+    """The probes of a line of ``n`` characters, as one of a few constant arrays. A line just
+    longer than where a budget ends probes the shorter ones below with theirs."""
+    bounds = [(e, -(-LEAST_CHARS * e // edits), -(-LEAST_CHARS * (e + 1) // edits) + e)
+              for e in range(1, edits) if least < LEAST_CHARS] + [(edits, LEAST_CHARS, None)]
+    at = F.lit(None)
+    for low in sorted({x for _, *ends in bounds for x in ends if x is not None}):
+        probes = [p for e, start, end in bounds if start <= low and (end is None or low < end) for p in _probes(e)]
+        fixed = F.array(*[F.struct(*[F.lit(x).alias(c) for c, x in zip(PROBE, p)]) for p in probes])
+        at = F.when(n >= low, fixed).otherwise(at)
+    return at
+
+
+def key_rows(lines: DataFrame, edits: int = EDITS, least: int = LEAST_CHARS) -> DataFrame:
+    """``h1, h2, n, key, own``: own segments (``own`` true) and probed substrings of the
+    lines, as hashed keys, and the lines' lengths.
+
+    The last of the ``edits + 1`` segments ends with the line, the others stand side by side
+    from its start; what is left lies before the last one.
+    """
+    # At four bytes a character a segment is cut out without counting from the line's start.
+    wide = lines.select("h1", "h2", F.encode("line", "UTF-32").alias("wide"))
+    rows = (wide.withColumn("n", (F.octet_length("wide") / WIDE).cast("int"))
+            .select("*", F.inline(_budgeted_probes(F.col("n"), edits, least)))
+            .withColumn("l", F.col("n") - F.col("less")))
+    rows = rows.withColumn("size", _round(F.col("l"))).filter(
+        ~F.col("again") | (_round(F.col("l") + 1) != F.col("size")))
+    chars = F.floor(F.col("size") / (F.col("edits") + 1)).cast("int")
+    before = F.when(F.col("part") == F.col("edits"), F.col("n") - chars).otherwise(
+        F.col("part") * chars + F.col("shift"))
+    segment = F.substr("wide", before * WIDE + 1, chars * WIDE)
+    return rows.select("h1", "h2", "n", F.xxhash64("size", "part", segment).alias("key"), "own")
 
 
 def letter_counts(line: Column) -> Column:
@@ -94,6 +108,14 @@ def letter_counts(line: Column) -> Column:
     return F.array(*[(n - F.length(F.replace(line, F.lit(c), F.lit("")))).cast("int") for c in LETTERS])
 
 
+def _odd_letters(letters: Column) -> Column:
+    """A bit for each letter that stands an odd number of times."""
+    bits = F.lit(0).cast("bigint")
+    for k in range(len(LETTERS)):
+        bits = bits.bitwiseOR(F.shiftleft((F.get(letters, F.lit(k)) % 2).cast("bigint"), k))
+    return bits
+
+
 def _counts_apart(a: Column, b: Column) -> Column:
     total = F.lit(0)
     for k in range(len(LETTERS)):
@@ -109,6 +131,12 @@ def edit_distance(a: Column, b: Column, n_a: Column, edits: int = EDITS) -> Colu
     follows the band's lowest diagonal and then the last row. Lengths may differ by
     ``edits`` at most, and both exceed it.
     """
+    # What a lambda refers to is computed again for every element, so the arrays come as a value.
+    return _let(F.struct(a.alias("a"), b.alias("b"), n_a.alias("n")),
+                lambda v: _band_score(v["a"], v["b"], v["n"], edits))
+
+
+def _band_score(a: Column, b: Column, n_a: Column, edits: int) -> Column:
     def equal_bits(c, j):
         bits = F.lit(0).cast("bigint")
         for k in range(2 * edits + 1):
@@ -146,6 +174,15 @@ def edit_distance(a: Column, b: Column, n_a: Column, edits: int = EDITS) -> Colu
     return F.aggregate(F.transform(b, equal_bits), begin, step)["score"]
 
 
+def _pieces_missing(a: Column, b: Column) -> Column:
+    """How many of ``PIECES`` pieces of ``a`` do not stand in ``b``. One edit changes one piece."""
+    size = F.floor(F.length(a) / PIECES).cast("int")
+    missing = F.lit(0)
+    for k in range(PIECES):
+        missing = missing + (~F.contains(b, F.substr(a, size * k + 1, size))).cast("int")
+    return missing
+
+
 def _characters(line: Column) -> Column:
     return F.split(line, "")
 
@@ -163,45 +200,61 @@ def _all_lines(df: DataFrame, doc_id: str, text: str, least: int) -> DataFrame:
     """``doc, version, at, line`` and the line's two hashes, for lines that take part."""
     parts = df.select(F.col(doc_id).alias("doc"), F.xxhash64(text).alias("version"),
                       F.split(F.col(text), "\n").alias("parts"))
-    return (parts.select("doc", "version", F.posexplode("parts").alias("at", "line"))
+    # The outer form, as the other makes Spark split every text three times to leave out empty ones.
+    return (parts.select("doc", "version", F.posexplode_outer("parts").alias("at", "line"))
             .filter(_takes_part(F.col("line"), least))
             .withColumns({"h1": F.xxhash64("line"), "h2": F.xxhash64(F.lit(1), "line")}))
 
 
+def _owner() -> Column:
+    """Whether a row is of a line's own segment, under the line's own length."""
+    return F.col("own") & (F.col("less") == 0)
+
+
 def near_lines(lines: DataFrame, edits: int = EDITS, least: int = LEAST_CHARS) -> tuple[DataFrame, DataFrame]:
-    """First places of distinct lines, and the lines that are near an earlier one."""
-    keyed = lines.select("h1", "h2", F.struct("doc", "version", "at").alias("place"),
-                         budgeted_keys(F.col("line"), edits, least).alias("keys"))
-    distinct = keep(keyed.groupBy("h1", "h2").agg(
-        F.min("place").alias("first"), F.any_value("keys").alias("keys")), "lines")
-    rows = distinct.select("h1", "h2", "first", F.inline("keys"))
+    """First places of lines that stand in several, and the lines that are near an earlier one."""
+    distinct = keep(lines.groupBy("h1", "h2").agg(
+        F.min(F.struct("doc", "version", "at")).alias("first"), F.count("*").alias("places"),
+        F.any_value("line").alias("line")), "lines")
+    rows = keep(key_rows(distinct, edits, least), "segments")
     met = keep(rows.groupBy("key").agg(F.count("*").alias("n"), F.max("own").alias("own"))
                .filter("n > 1 and own").select("key"), "keys")
-    rows = keep(rows.join(_small(met), "key", "left_semi"), "meetings")
-    # Only lines that share a key with another are fetched and counted.
+    # Lines meet by a key and the length of the shorter one.
+    rows = keep(rows.join(_small(met), "key", "left_semi")
+                .select("*", F.explode(F.array(*[F.lit(k) for k in range(edits + 1)])).alias("less"))
+                .withColumn("of_n", F.col("n") - F.col("less")), "meetings")
+    met = keep(rows.groupBy("key", "of_n").agg(F.count("*").alias("n"), F.max(_owner()).alias("own"))
+               .filter("n > 1 and own").select("key", "of_n"), "keys")
+    rows = rows.join(_small(met), ["key", "of_n"], "left_semi")
+    # Only lines that meet another are counted.
     wanted = keep(rows.select("h1", "h2").distinct(), "wanted")
-    texts = keep(lines.join(_small(wanted), ["h1", "h2"], "left_semi")
-                 .groupBy("h1", "h2").agg(F.any_value("line").alias("line"))
-                 .withColumn("letters", letter_counts(F.col("line"))), "texts")
-    rows = rows.join(texts.select("h1", "h2", "letters"), ["h1", "h2"])
-    a = rows.filter("own").select("key", *[F.col(c).alias(f"a_{c}") for c in ("h1", "h2", "first", "letters")])
-    b = rows.select("key", "own", *[F.col(c).alias(f"b_{c}") for c in ("h1", "h2", "first", "letters")])
-    same_side = F.col("own") & (F.struct("a_h1", "a_h2") >= F.struct("b_h1", "b_h2"))
-    pairs = keep(a.join(b, (a["key"] == b["key"]) & ~same_side
+    texts = keep(distinct.join(_small(wanted), ["h1", "h2"], "left_semi")
+                 .select("h1", "h2", "first", "line", letter_counts(F.col("line")).alias("letters"))
+                 .withColumn("odd", _odd_letters(F.col("letters"))), "texts")
+    rows = rows.join(texts.select("h1", "h2", "first", "letters", "odd"), ["h1", "h2"])
+
+    def met_as(k):
+        return [F.col(c).alias(f"{k}_{c}") for c in ("key", "of_n", "h1", "h2", "first", "letters", "odd")]
+    a = rows.filter(_owner()).select(*met_as("a"))
+    b = rows.select(_owner().alias("owner"), *met_as("b"))
+    same_side = F.col("owner") & (F.struct("a_h1", "a_h2") >= F.struct("b_h1", "b_h2"))
+    pairs = keep(a.join(b, (F.col("a_key") == F.col("b_key")) & (F.col("a_of_n") == F.col("b_of_n")) & ~same_side
                         & ((F.col("a_h1") != F.col("b_h1")) | (F.col("a_h2") != F.col("b_h2")))
+                        & (F.bit_count(F.col("a_odd").bitwiseXOR(F.col("b_odd"))) <= 2 * edits)
                         & (_counts_apart(F.col("a_letters"), F.col("b_letters")) <= 2 * edits))
                  .select("a_h1", "a_h2", "b_h1", "b_h2", (F.col("a_first") < F.col("b_first")).alias("a_is_first"))
                  .distinct(), "pairs")
+
     def side(k):
         return texts.select(F.col("h1").alias(f"{k}_h1"), F.col("h2").alias(f"{k}_h2"), F.col("line").alias(k))
     read = pairs.join(side("a"), ["a_h1", "a_h2"]).join(side("b"), ["b_h1", "b_h2"])
     distance = edit_distance(_characters(F.col("a")), _characters(F.col("b")), F.length("a"), edits)
     allowed = _budget(F.least(F.length("a"), F.length("b")), edits)
-    near = (read.filter(distance <= allowed)
+    near = (read.filter(_pieces_missing(F.col("a"), F.col("b")) <= edits).filter(distance <= allowed)
             .select(F.when(F.col("a_is_first"), F.col("b_h1")).otherwise(F.col("a_h1")).alias("h1"),
                     F.when(F.col("a_is_first"), F.col("b_h2")).otherwise(F.col("a_h2")).alias("h2"))
             .distinct().withColumn("near", F.lit(True)))
-    return distinct.select("h1", "h2", "first"), near
+    return distinct.filter("places > 1").select("h1", "h2", "first"), near
 
 
 def dedup_lines(df: DataFrame, doc_id: str = "doc_id", text: str = "text", edits: int = EDITS,
@@ -211,16 +264,17 @@ def dedup_lines(df: DataFrame, doc_id: str = "doc_id", text: str = "text", edits
     doc, version, gone_at = (free_name(df, c) for c in ("doc", "version", "gone"))
     lines = _all_lines(df, doc_id, text, least_chars)
     first, near = near_lines(lines, edits, least_chars)
-    fate = first.join(near, ["h1", "h2"], "left")
+    fate = first.join(near, ["h1", "h2"], "full")
     gone = (lines.select("doc", "version", "at", "h1", "h2").join(fate, ["h1", "h2"])
             .withColumn("repeated", ~F.col("first").eqNullSafe(F.struct("doc", "version", "at")))
             .filter(F.col("repeated") | F.col("near"))
             .groupBy(F.col("doc").alias(doc), F.col("version").alias(version))
             .agg(F.collect_set("at").alias(gone_at)))
     split = F.split(F.col(text), "\n")
-    places = F.array_except(F.sequence(F.lit(0), F.size(split) - 1), F.col(gone_at))
-    left = F.transform(places, lambda i: F.get(split, i))
-    marked = df.join(gone, F.col(doc_id).eqNullSafe(F.col(doc))
+    left = _let(split, lambda parts: F.transform(
+        F.array_except(F.sequence(F.lit(0), F.size(parts) - 1), F.col(gone_at)), lambda i: F.get(parts, i)))
+    # Hashing the few numbers of ``gone`` spares sorting whole documents.
+    marked = df.join(gone.hint("shuffle_hash"), F.col(doc_id).eqNullSafe(F.col(doc))
                      & F.xxhash64(text).eqNullSafe(F.col(version)), "left")
     kept = F.when(F.col(gone_at).isNull(), split).otherwise(left)
     out = marked.withColumn("lines", F.struct(
@@ -228,7 +282,8 @@ def dedup_lines(df: DataFrame, doc_id: str = "doc_id", text: str = "text", edits
         F.coalesce(F.size(gone_at), F.lit(0)).cast("bigint").alias("removed"),
         F.coalesce(F.size(F.filter(kept, lambda l: _takes_part(l, least_chars))), F.lit(0))
         .cast("bigint").alias("long_left")))
-    return out.withColumn(text, F.coalesce(F.array_join(kept, "\n"), F.lit(""))).drop(gone_at, doc, version)
+    rest = F.when(F.col(gone_at).isNull(), F.col(text)).otherwise(F.array_join(left, "\n"))
+    return out.withColumn(text, F.coalesce(rest, F.lit(""))).drop(gone_at, doc, version)
 
 
 def keep_distinct_lines(df: DataFrame, doc_id: str = "doc_id", text: str = "text",

@@ -131,3 +131,32 @@ def test_documents_of_short_lines_stay(documents):
             (4, notice + "\nroses are red")]
     kept = linededup.keep_distinct_lines(documents(rows), least_chars=1).collect()
     assert {r["doc_id"]: r["text"] for r in kept} == {1: notice, 2: "roses are red\nviolets are blue"}
+
+
+def test_a_line_is_split_once_for_its_distance(text_spark):
+    df = text_spark.createDataFrame([("abcdef", "abcdeg")], "a string, b string")
+    out = df.select(linededup.edit_distance(F.split("a", ""), F.split("b", ""), F.length("a")).alias("d"))
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("split(") == 2 and plan.count("length(") == 1
+
+
+def test_texts_are_split_once_for_their_lines(documents):
+    lines = linededup._all_lines(documents([(1, "x\ny")]), "doc_id", "text", 1)
+    assert lines._jdf.queryExecution().optimizedPlan().toString().count("split(") == 1
+
+
+def test_long_lines_have_few_keys(text_spark):
+    rng = random.Random(18)
+    rows = [(n, n, "".join(rng.choice("abcdé𝄞 ") for _ in range(n))) for n in range(14, 400)]
+    keys = linededup.key_rows(text_spark.createDataFrame(rows, "h1 long, h2 long, line string"), least=1).collect()
+    assert {r["n"] for r in keys} == set(range(15, 400)) and all(r["h1"] == r["n"] for r in keys)
+    assert sum(r["n"] >= 66 for r in keys) < 6 * (400 - 66)
+
+
+def test_lengths_where_segments_change_size(documents):
+    rng = random.Random(19)
+    lines = ["".join(rng.choice("abcdefgh é.,𝄞") for _ in range(n)) for n in (63, 64, 65, 66, 79, 80, 81, 96, 97, 128, 161)]
+    rows = [(k, "\n".join(edited(rng, line, rng.choice((0, 1, 2, 2, 3))) for line in rng.sample(lines, 6)))
+            for k in range(40)]
+    out = linededup.dedup_lines(documents(rows), least_chars=1).collect()
+    assert {r["doc_id"]: r["text"] for r in out} == whole_by_hand(rows)
