@@ -19,9 +19,11 @@ SPACE = b" \t\n\v\f\r"
 REMEMBERED = 250_000
 
 
-def release() -> None:
-    """Give free memory of this worker back to the system."""
-    gc.collect()
+def release(collect: bool = True) -> None:
+    """Give free memory of this worker back to the system, by default after a collection
+    of garbage, which takes tens of milliseconds."""
+    if collect:
+        gc.collect()
     pa.default_memory_pool().release_unused()
     trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
     if trim is not None:

@@ -118,3 +118,66 @@ def test_starts_learn_in_bits_over_shards_of_whole_keys():
             got, mixed = (mixed[:len(want)], mixed[len(want):]) if t == 2 else ([t] * len(want), mixed)
             assert got == want
         assert not mixed
+
+
+def test_anchors_are_dealt_evenly_among_parts():
+    rng = random.Random(11)
+    texts = [bytes(rng.choice(b"abcdefgh ") for _ in range(5000)) for _ in range(40)]
+    _, _, _, keys, *_ = suffixes.runs(texts)
+    counts = np.bincount(suffixes._part(keys, 32), minlength=32)
+    assert counts.max() < 1.3 * counts.mean()  # 20 times the mean by the upper bits of the hashes
+
+
+def test_runs_cover_every_start_once(monkeypatch):
+    rng = random.Random(12)
+    texts = [bytes(rng.choice(b"ab") for _ in range(n)) for n in (0, 49, 50, 51, 700, 0, 3, 1500, 50, 0)]
+    for bits in (7, 9, 17):
+        monkeypatch.setattr(suffixes, "CHUNK_BITS", bits)
+        text, start, count, keys, prints = suffixes.runs(texts)
+        got = [(t, a + k) for t, a, n in zip(text.tolist(), start.tolist(), count.tolist()) for k in range(n)]
+        assert got == [(t, a) for t, b in enumerate(texts) for a in range(len(b) - 49)]
+        stretches = [texts[t][a:a + n + 49] for t, a, n in zip(text, start, count)]
+        assert len(set(prints.tolist())) == len(set(stretches))
+        anchor = dict()
+        for s, key in zip(stretches, keys.tolist()):
+            for k in range(len(s) - 49):
+                assert anchor.setdefault(s[k:k + 50], key) == key
+
+
+def test_slices_of_one_hash_are_told_apart_by_content():
+    joined, at = b"abcabcabd", np.array([0, 3, 6, 1])
+    for prints in (np.zeros(4, np.uint64), np.array([1, 1, 2, 3], np.uint64) << np.uint64(60)):
+        number, sample = suffixes._alike(joined, at, np.array([3, 3, 3, 2]), prints)
+        assert number[0] == number[1] and len(set(number.tolist())) == 3
+        assert number[sample].tolist() == [0, 1, 2]
+
+
+def test_stretches_of_hot_anchors_are_sent_as_their_strings():
+    rng = random.Random(13)
+    line = bytes(rng.choice(b"abcdef") for _ in range(90))
+    texts = [line + bytes(rng.choice(b"ghij") for _ in range(40)) for _ in range(5)]
+    anchors = len(set(suffixes._codes(suffixes.runs(texts)[3], 4).tolist()))
+    joined, told = b"".join(texts), []
+    for mark in (1, 2):
+        (text, start, count, number), (_, _, where, sizes) = suffixes._stretches(
+            texts, np.full(anchors, mark, np.uint8), 4)
+        assert (sizes == 50).all() == (mark == 2)
+        contents = [joined[a:a + n] for a, n in zip(where.tolist(), sizes.tolist())]
+        assert len(set(contents)) == len(contents)
+        for t, a, n, k in zip(text.tolist(), start.tolist(), count.tolist(), number.tolist()):
+            assert texts[t][a:a + n + 49] == contents[k]
+        told.append(sorted((t, a + k) for t, a, n in zip(text.tolist(), start.tolist(), count.tolist()) for k in range(n)))
+    assert told[0] == told[1]
+
+
+def test_hot_anchors_would_fill_a_shard():
+    assert suffixes.hot_above(1) == suffixes.hot_above(200) == suffixes.HOT_BATCHES
+    assert 1500 < suffixes.hot_above(2500) < 2500
+    shard = 4 * suffixes.SHARD_BYTES / 75
+    assert 0.9 * shard < suffixes.hot_above(10**6) < shard + 100
+
+
+def test_a_batch_sends_to_fewer_parts():
+    for total in (10**9, 10**10, 10**12):
+        batches, parts = suffixes.layout(total)
+        assert parts <= max(64, batches / 4)
